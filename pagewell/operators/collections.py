@@ -7,8 +7,6 @@ of every batch. What is live follows from both; nothing is ever changed in place
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewell.operators.joins import join_names, join_unique
-from pagewell.operators.newest import newest
 from pagewell.operators.ordering import number_by_id
 
 COSINE = "cosine"
@@ -30,10 +28,9 @@ def live_collections(catalog: DataFrame) -> DataFrame:
     """
     state = _since_deletion(catalog).where(F.col("written") > F.col("dropped"))
     definitions = (
-        join_unique(
-            catalog.where(~F.col("deleted")).select(
-                "name", "vector_size", "distance", "batch_id"),
-            state.select("name", "dropped"), ["name"], F.col("batch_id"), "inner")
+        catalog.where(~F.col("deleted"))
+        .select("name", "vector_size", "distance", "batch_id")
+        .join(state.select("name", "dropped"), "name")
         .where(F.col("batch_id") > F.col("dropped")))
     return definitions.groupBy("name", "dropped").agg(
         F.min_by("vector_size", "batch_id").alias("vector_size"),
@@ -84,11 +81,19 @@ def delete_collections(names: DataFrame) -> DataFrame:
 
 
 def live_points(log: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Newest row of every point written since its collection was last deleted."""
-    live = live_collections(catalog).select(F.col("name").alias("collection"), "dropped")
-    current = join_names(log, live, ["collection"], F.col("point_id")).where(
-        F.col("batch_id") > F.col("dropped")).drop("dropped")
-    return newest(current, ["collection", "point_id"], ["batch_id", "ordinal", "part"])
+    """Newest row of every point written since its collection was last deleted.
+
+    A point whose newest row is older than the deletion has no live row at all, so
+    the deletions are looked up for the winners only, which carry no payload.
+    """
+    order = ["batch_id", "ordinal", "part"]
+    live = _since_deletion(catalog).select(F.col("name").alias("collection"), "dropped")
+    last = log.groupBy("collection", "point_id").agg(
+        F.max(F.struct(*order)).alias("_last"))
+    winners = last.join(live, "collection").where(F.col("_last")["batch_id"] > F.col("dropped"))
+    keys = winners.select(
+        "collection", "point_id", *(F.col("_last")[o].alias(o) for o in order))
+    return log.join(keys, ["collection", "point_id", *order], "left_semi")
 
 
 def stored_count(points: DataFrame, *keys: str) -> DataFrame:
@@ -137,17 +142,14 @@ def scroll_all(points: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """All pages of a collection: the points with `page`, `row` and `next_offset`."""
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    ranked = number_by_id(points.select("point_id", "payload"), "_rank")
-    paged = ranked.select(
+    ranked = number_by_id(points.select("point_id"), "_rank").select(
         F.floor(F.col("_rank") / limit).alias("page"),
-        (F.col("_rank") % limit).alias("row"), "point_id", "payload")
-    heads = number_by_id(points.select("point_id"), "_rank").where(
-        F.col("_rank") % limit == 0
-    ).select(
-        (F.floor(F.col("_rank") / limit) - 1).alias("page"),
-        F.col("point_id").alias("next_offset"))
-    return paged.join(heads, "page", "left").select(
-        "page", "row", "point_id", "payload", "next_offset")
+        (F.col("_rank") % limit).alias("row"), "point_id")
+    heads = ranked.where(F.col("row") == 0).select(
+        (F.col("page") - 1).alias("page"), F.col("point_id").alias("next_offset"))
+    return ranked.join(heads, "page", "left").join(
+        points.select("point_id", "payload"), "point_id"
+    ).select("page", "row", "point_id", "payload", "next_offset")
 
 
 def count_documents(points: DataFrame) -> DataFrame:

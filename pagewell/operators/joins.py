@@ -5,16 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a table of names or counters is broadcast.
-BROADCAST_ROWS = 100_000
 SALTS = 64
 
 
-def is_small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most `limit` rows; reads no more than it must."""
-    return rows.limit(limit + 1).count() <= limit
-
-
 def join_unique(
     rows: DataFrame, unique: DataFrame, keys: Sequence[str], spread: Column,
     how: str = "left", salts: int = SALTS,
@@ -30,13 +23,3 @@ def join_unique(
     groups = salted.select(*keys, "_salt").distinct()
     copies = groups.join(unique, keys)
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
-
-
-def join_names(
-    rows: DataFrame, names: DataFrame, keys: Sequence[str], spread: Column,
-    how: str = "inner", salts: int = SALTS,
-) -> DataFrame:
-    """Equi-join with a table of names: broadcast when it is small, else salted."""
-    if is_small(names):
-        return rows.join(F.broadcast(names), list(keys), how)
-    return join_unique(rows, names, keys, spread, how, salts)

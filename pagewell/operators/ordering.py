@@ -28,7 +28,9 @@ def number_rows(
     offsets = sizes
     for depth, key in enumerate(keys):
         above = keys[:depth]
-        totals = sizes.groupBy(*above, key).agg(F.sum("_rows").alias("_rows"))
+        totals = sizes
+        if depth < len(keys) - 1:
+            totals = sizes.groupBy(*above, key).agg(F.sum("_rows").alias("_rows"))
         before = (Window.partitionBy(*above).orderBy(key)
                   .rowsBetween(Window.unboundedPreceding, -1))
         starts = totals.select(
@@ -53,7 +55,5 @@ def number_by_ordinal(rows: DataFrame, name: str, ordinal: str = "ordinal") -> D
 
 
 def number_by_id(rows: DataFrame, name: str, key: str = "point_id") -> DataFrame:
-    """Number rows by a distinct hashed id; its first hex digits are the buckets."""
-    return number_rows(
-        rows, name,
-        [F.substring(F.col(key), 1, 2), F.substring(F.col(key), 1, 4)], [F.col(key)])
+    """Number rows by a distinct hashed id; its first four hex digits are the bucket."""
+    return number_rows(rows, name, [F.substring(F.col(key), 1, 4)], [F.col(key)])

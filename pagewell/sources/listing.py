@@ -45,7 +45,7 @@ def list_sources(arguments: DataFrame | None, lines: DataFrame | None) -> DataFr
         raise ValueError("Neither arguments nor lines given")
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     numbered = number_rows(
-        rows, "ordinal", [F.col("door"), F.col("file"), F.col("block")], [F.col("line")])
+        rows, "ordinal", [F.struct("door", "file"), F.col("block")], [F.col("line")])
     return numbered.select("ordinal", "source")
 
 
