@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import entry_sql
+from pagewell import ship
 from pagewell.functions import ids, markup, urls
+from pagewell.functions.lines import line_documents
 from pagewell.operators import collections as C
 from pagewell.operators import nearby as N
 from pagewell.operators import points as P
@@ -23,7 +25,7 @@ from pagewell.operators.embed import check_vectors, embed_text, vector_size
 from pagewell.operators.parse import parse_pages, parse_rows
 from pagewell.plans.ingest import ingest_points, parse_sources
 from pagewell.plans.store import CollectionStore
-from pagewell.sources.content import load_content
+from pagewell.sources.content import load_content, spread
 from pagewell.sources.listing import (
     ingest_report, list_sources, route_sources, with_source_type)
 from pagewell.streaming.ingest import ingest_stream, stream_pages
@@ -31,21 +33,29 @@ from pagewell.streaming.ingest import ingest_stream, stream_pages
 TIMESTAMP = "2025-01-01T00:00:00Z"
 
 
+_tables: dict[tuple, DataFrame] = {}
+
+
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A table, whose files are listed and whose schema is read once per application."""
+    ship(spark)
+    key = (spark.sparkContext.applicationId, id(spark), d, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{d}/{name}.parquet")
+    return _tables[key]
 
 
 # -- inputs ------------------------------------------------------------------
 
 def _pages(spark, d) -> DataFrame:
-    return _table(spark, d, "pages").select(
+    return spread(_table(spark, d, "pages")).select(
         F.col("page_id").alias("ordinal"), F.col("url").alias("source"),
         F.col("html").alias("content"))
 
 
 def _page_variants(spark, d) -> DataFrame:
     """All pages as they are; with main, header and meta tags; without title and article."""
-    pages = _table(spark, d, "pages")
+    pages = spread(_table(spark, d, "pages"))
     html, url = F.col("html"), F.col("url")
 
     def swap(text, *pairs):
@@ -79,7 +89,7 @@ def _page_variants(spark, d) -> DataFrame:
 
 
 def _lines(spark, d) -> DataFrame:
-    return _table(spark, d, "documents").select(
+    return spread(_table(spark, d, "documents")).select(
         F.col("source").alias("file"), F.col("doc_id").alias("block"),
         F.posexplode(F.split("text", "\n")).alias("line", "source"))
 
@@ -305,23 +315,17 @@ def nested_pages_parsed(spark, d):
     return _flat(parse_pages(_pages(spark, d).withColumn("content", nested), TIMESTAMP))
 
 
-def _line_documents(content, source):
-    return [
-        {"title": f"{source} {number}", "content": line, "metadata": {"line": number}}
-        for number, line in enumerate(content.split("\n")) if line.strip()]
-
-
 def custom_parser(spark, d):
-    pages = _table(spark, d, "documents").select(
+    pages = spread(_table(spark, d, "documents")).select(
         F.col("doc_id").alias("ordinal"), "source", F.col("text").alias("content"))
-    documents, _ = parse_rows(pages, _line_documents, "txt", TIMESTAMP)
+    documents, _ = parse_rows(pages, line_documents, "txt", TIMESTAMP)
     return documents.select(
         "ordinal", "part", "source", "title", "content",
         F.col("metadata")["line"].alias("line"), "source_type")
 
 
 def text_embedded(spark, d):
-    rows = _table(spark, d, "documents").select("doc_id", "text")
+    rows = spread(_table(spark, d, "documents").select("doc_id", "text"))
     return _sparse(embed_text(rows, "text"), "doc_id")
 
 
@@ -331,7 +335,7 @@ def query_embedded(spark, d):
 
 def vector_sizes(spark, d):
     """The probe's size beside that of every document's vector."""
-    documents = embed_text(_table(spark, d, "documents").select("text"), "text")
+    documents = embed_text(spread(_table(spark, d, "documents").select("text")), "text")
     return documents.groupBy(F.size("vector").alias("document_size")).agg(
         F.count(F.lit(1)).alias("documents")
     ).withColumn("vector_size", vector_size(spark).scalar())
@@ -521,7 +525,9 @@ def render_page(spark, d):
 def ingest_job(spark, d):
     points, _ = ingest_points(
         _mixed_sources(spark, d), _pages(spark, d), timestamp=TIMESTAMP)
-    return _payload_columns(points.where(F.size("vector") == 64), "source", "title", "content")
+    return points.select(
+        "point_id", "ordinal", F.size("vector").alias("vector_size"),
+        *(F.col("payload")[n].alias(n) for n in ("source", "title", "content")))
 
 
 def ingest_twice(spark, d):

@@ -412,7 +412,8 @@ def oracle_sql() -> dict[str, str]:
               FILTER (n <= 10) || '],"next_offset":'
               || coalesce('"' || max(point_id) FILTER (n = 11) || '"', 'null') || '}}' AS result
             FROM page""",
-        "ingest_job": job,
+        "ingest_job": job.replace("SELECT md5(source) AS point_id,",
+                                  "SELECT 64 AS vector_size, md5(source) AS point_id,"),
         "ingest_twice": job,
         "ingest_stream": f"""WITH {_parsed(PAGES)}
             SELECT md5(source) AS point_id, ordinal, source, title, content FROM parsed""",

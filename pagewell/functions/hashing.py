@@ -73,4 +73,5 @@ def hashed_embedder(dimension: int = DIMENSION) -> Callable[[Column], Column]:
             offsets = np.arange(0, len(flat) + 1, dimension, dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.float32()))
 
-    return embed
+    # Keeps filters on the vector from being pushed below, where they would repeat it.
+    return embed.asNondeterministic()

@@ -241,10 +241,10 @@ def is_plain(
     odd = [F.contains(html, F.lit(part)) for part in (MARK, "<!-->", "<!--->", "--!>")]
     known = "|".join(e[1:-1] for e, _ in ENTITIES)
     odd.append(F.regexp_like(opaque_stripped, F.lit(
-        f"&(?!(?:{known});|amp(?:[^-.;A-Za-z0-9]|$))[a-zA-Z#]")))
+        f"&(?!(?:{known});|amp[^-.;A-Za-z0-9])[a-zA-Z#]"
+        r"|(?i)<title(?:[\s/][^>]*)?>[^<]*+<(?!/title)")))
     odd.append(F.regexp_like(bare, F.lit(
         f"<({matched}|body)>(?:<(?!/?\\1>)[^<>]*>)*+<\\1>"
-        "|<title>(?!</title>)"
         f"|<(?:{'|'.join((*SPECIAL, *OPAQUE))})/?>"
         f"|<(?:{matched}|body)/>")))
     rest = F.regexp_replace(bare, f"<(?:{'|'.join(VOID)})/?>|<[^<>/]+/>", "")

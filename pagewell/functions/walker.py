@@ -208,4 +208,5 @@ def walked_page(html: Column, names: Sequence[str] | None = None) -> Column:
                 [empty if html is None else walk(html, excluded) for html in batch],
                 columns=WALKED.fieldNames(), dtype=object)
 
-    return read(html)
+    # Keeps filters on the result from being pushed below, where they would repeat it.
+    return read.asNondeterministic()(html)

@@ -41,7 +41,7 @@ def cell_of(vector: Column, dimension: int, count: int = PLANES) -> Column:
             sides = rows.astype(np.float64) @ normals.T > 0
             yield pa.array(sides @ weights, pa.int64())
 
-    return cells(vector)
+    return cells.asNondeterministic()(vector)
 
 
 def probed_cells(cell: Column, count: int = PLANES, radius: int = RADIUS) -> Column:

@@ -22,7 +22,6 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagewell.operators.collections import DEFAULT_LIMIT
 from pagewell.operators.embed import Embedder, embed_text
-from pagewell.operators.joins import join_unique
 
 SCORE_DIGITS = 12
 
@@ -36,6 +35,9 @@ BROADCAST_BYTES = 64 << 20
 QUERY_BLOCK = 8_192
 POINT_SLICE = 200_000
 
+# Hits that are broadcast to fetch their payloads.
+BROADCAST_HITS = 500_000
+
 # Products held at once per task.
 SCORES_HELD = 4 << 20
 
@@ -190,8 +192,7 @@ def _cells(rows: DataFrame, match: Sequence[str]) -> Column:
 
 
 def top_k_pairs(
-    points: DataFrame, queries: DataFrame, k: int = DEFAULT_LIMIT,
-    match: Sequence[str] = (), distinct_hits: bool = False,
+    points: DataFrame, queries: DataFrame, k: int = DEFAULT_LIMIT, match: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES, query_block: int = QUERY_BLOCK,
     point_slice: int = POINT_SLICE,
 ) -> DataFrame:
@@ -263,10 +264,16 @@ def _from_ipc(data: bytes) -> pa.Table:
         return reader.read_all()
 
 
-def with_payload(hits: DataFrame, points: DataFrame) -> DataFrame:
-    """Adds the payload of the hit points, which may be hit by any number of queries."""
-    return join_unique(
-        hits, points.select("point_id", "payload"), ["point_id"], F.col("query_id"), "inner",
+def with_payload(hits: DataFrame, points: DataFrame, most: int | None = None) -> DataFrame:
+    """Adds the payload of the hit points.
+
+    `most` is a proven upper bound on the number of hits. Hits known to be few are
+    broadcast to the scan of the payloads; others are joined by id, where a point hit
+    by very many queries is split up by the adaptive skew join.
+    """
+    few = most is not None and most <= BROADCAST_HITS
+    return points.select("point_id", "payload").join(
+        F.broadcast(hits) if few else hits, "point_id"
     ).select("query_id", "rank", "point_id", "score", "payload")
 
 
@@ -280,8 +287,9 @@ def search_batch(
     embedder: Embedder | None = None, match: Sequence[str] = (), payload: bool = True,
 ) -> DataFrame:
     """k hits for every query text of `query_id, query`."""
-    hits = top_k_pairs(points, embed_queries(queries, embedder), k, match)
-    return with_payload(hits, points) if payload else hits
+    asked = embed_queries(queries, embedder)
+    hits = top_k_pairs(points, asked, k, match)
+    return with_payload(hits, points, queries.count() * k) if payload else hits
 
 
 def search_text(

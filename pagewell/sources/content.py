@@ -36,3 +36,13 @@ def read_binary_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFr
     """Whole binary files as `source, content`, for parsers of binary formats."""
     return spark.read.format("binaryFile").load(paths).select(
         F.col("path").alias("source"), "content")
+
+
+def spread(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows of a scan over at least so many tasks (default: one per core).
+
+    Small tables come in fewer splits than there are cores, which leaves cores idle
+    in costly steps that follow. A scan with enough splits is left as it is.
+    """
+    tasks = tasks or rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= tasks else rows.repartition(tasks)
