@@ -181,7 +181,7 @@ def _dense(name: str, bag: str, table: str, key: str) -> str:
 
 def _cosine(a: str, b: str) -> str:
     lengths = f"list_inner_product({a}, {a}) * list_inner_product({b}, {b})"
-    return f"CASE WHEN {lengths} = 0 THEN 0.0 ELSE round(list_cosine_similarity({a}, {b}), 12) END"
+    return f"CASE WHEN {lengths} = 0 THEN 0.0 ELSE round(list_cosine_similarity({a}, {b}), 9) END"
 
 
 TEXT_POINTS = """
@@ -402,7 +402,7 @@ def oracle_sql() -> dict[str, str]:
             lang AS collection, 0 AS position, text FROM documents""",
         "render_json": f"""WITH {VECTORS}, {_ranked(3)}
             SELECT query_id, '[' || string_agg('{{"id":"' || point_id || '","score":'
-              || round(round(score, 12) * 1000)::INTEGER || ',"payload":{{"text":"say \\"' || point_id
+              || round(score * 1000)::INTEGER || ',"payload":{{"text":"say \\"' || point_id
               || '\\""}}}}', ',' ORDER BY rank) || ']' AS result FROM hits GROUP BY query_id""",
         "render_page": f"""WITH {LOG}, page AS (
               SELECT point_id, text, row_number() OVER (ORDER BY point_id) AS n

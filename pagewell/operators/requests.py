@@ -73,11 +73,17 @@ def result_json(result: Column) -> Column:
     return F.to_json(result)
 
 
+def _sorted_by(rows: Column, field: str) -> Column:
+    """An array of structs in the order of one field; payloads have no order."""
+    return F.array_sort(rows, lambda a, b: F.when(a[field] < b[field], -1)
+                        .when(a[field] > b[field], 1).otherwise(0))
+
+
 def hits_json(hits: DataFrame) -> DataFrame:
     """Per query the list of its hits as JSON, best first; a query has k hits at most."""
     hit = F.struct(F.col("point_id").alias("id"), "score", "payload")
     ranked = hits.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", hit.alias("hit")))).alias("_hits"))
+        _sorted_by(F.collect_list(F.struct("rank", hit.alias("hit"))), "rank").alias("_hits"))
     return ranked.select("query_id", result_json(
         F.transform("_hits", lambda h: h["hit"])).alias("result"))
 
@@ -86,8 +92,7 @@ def page_json(page: DataFrame) -> DataFrame:
     """A scroll page as one JSON object; a page has at most `limit` rows."""
     document = F.struct(F.col("point_id").alias("id"), "payload")
     collected = page.agg(
-        F.array_sort(F.collect_list(document), lambda a, b: F.when(a["id"] < b["id"], -1)
-                     .when(a["id"] > b["id"], 1).otherwise(0)).alias("documents"),
+        _sorted_by(F.collect_list(document), "id").alias("documents"),
         F.max("next_offset").alias("next_offset"))
     return collected.select(F.to_json(
         F.struct("documents", "next_offset"), {"ignoreNullFields": "false"}).alias("result"))

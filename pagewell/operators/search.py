@@ -23,10 +23,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pagewell.operators.collections import DEFAULT_LIMIT
 from pagewell.operators.embed import Embedder, embed_text
 
-SCORE_DIGITS = 12
+SCORE_DIGITS = 9
 
-# Matrix products may be off by this much; candidates are kept up to it.
-SLACK = 1e-9
+# Rounding and matrix products may move a score by this much; candidates within it
+# of the k-th best are scored exactly.
+SLACK = 1e-8
 
 # Bytes of query vectors that are broadcast to all tasks.
 BROADCAST_BYTES = 64 << 20
