@@ -4,7 +4,6 @@ from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pagewell import schemas
 from pagewell.functions.text import strip
@@ -94,8 +93,12 @@ def page_json(page: DataFrame) -> DataFrame:
     collected = page.agg(
         _sorted_by(F.collect_list(document), "id").alias("documents"),
         F.max("next_offset").alias("next_offset"))
-    return collected.select(F.to_json(
-        F.struct("documents", "next_offset"), {"ignoreNullFields": "false"}).alias("result"))
+    # Payloads leave out their nulls, a page shows that there is no next one.
+    following = F.coalesce(
+        F.regexp_extract(F.to_json(F.array("next_offset")), r"^\[(.+)\]$", 1), F.lit("null"))
+    return collected.select(F.concat(
+        F.lit('{"documents":'), F.to_json("documents"), F.lit(',"next_offset":'), following,
+        F.lit("}")).alias("result"))
 
 
 def stored_json(stored: DataFrame) -> DataFrame:
@@ -104,9 +107,6 @@ def stored_json(stored: DataFrame) -> DataFrame:
     return stored.select(*others, F.to_json(F.struct("stored_count")).alias("result"))
 
 
-DELETED = T.StructType([T.StructField("deleted", T.BooleanType())])
-
-
 def deleted_json(names: DataFrame) -> DataFrame:
     """The answer to each deletion."""
     return names.select("name", F.to_json(F.struct(F.lit(True).alias("deleted"))).alias("result"))
