@@ -494,7 +494,7 @@ def decode_requests(spark, d):
     decoded = R.decode_requests(_requests(spark, d))
     return decoded.select(
         "request_id", "tool", "reason",
-        *(F.when(F.col("reason").isNull(), F.col(c)).alias(c)
+        *(F.when(F.col("reason").isNull(), F.col(c)).cast("string").alias(c)
           for c in ("collection_name", "query", "limit", "offset")),
         F.when(F.col("reason").isNull(), F.col("documents")[0]["text"]).alias("document"),
         F.when(F.col("reason").isNull(), F.to_json(F.col("documents")[0]["metadata"]))

@@ -201,7 +201,7 @@ def _ranked(k: int, condition: str = "") -> str:
     return f"""
 hits AS (SELECT * FROM (
   SELECT query_id, point_id, score,
-    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id) AS rank
+    (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, point_id))::INTEGER AS rank
   FROM (SELECT q.vec_id AS query_id, p.point_id, {_cosine('p.v', 'q.v')} AS score
     FROM vectors q, vectors p {condition})) WHERE rank <= {k})"""
 
@@ -224,7 +224,7 @@ def _named_hits(name: str, k: int, condition: str = "") -> str:
 
 LOG = """
 log AS (
-  SELECT lang AS collection, md5(text) AS point_id, doc_id AS ordinal, 0 AS batch_id, text
+  SELECT lang AS collection, md5(text) AS point_id, doc_id AS ordinal, 0::BIGINT AS batch_id, text
   FROM documents
   UNION ALL
   SELECT role, md5(text), conv_id * 1048576 + turn, 1, text FROM conversations
@@ -256,9 +256,9 @@ live AS (
 DECODED = """
 decoded AS (
   SELECT 'benchmark-1-' || item_id AS request_id, 'search' AS tool, NULL AS reason,
-    'c' AS collection_name, text AS query, item_id::INTEGER AS "limit", NULL AS "offset",
+    'c' AS collection_name, text AS query, item_id::VARCHAR AS "limit", NULL AS "offset",
     NULL AS document, NULL AS metadata FROM benchmark
-  UNION ALL SELECT 'benchmark-2-' || item_id, 'search', NULL, 'c', text, 10, NULL, NULL, NULL
+  UNION ALL SELECT 'benchmark-2-' || item_id, 'search', NULL, 'c', text, '10', NULL, NULL, NULL
     FROM benchmark
   UNION ALL SELECT 'documents-1-' || doc_id, 'add_documents', NULL, lang, NULL, NULL, NULL, text,
     '{"source":"' || source || '"}' FROM documents
@@ -268,7 +268,7 @@ decoded AS (
     NULL, NULL, NULL, NULL, NULL, NULL FROM documents
   UNION ALL SELECT 'pages-1-' || page_id, 'get_documents', 'bad_request',
     NULL, NULL, NULL, NULL, NULL, NULL FROM pages
-  UNION ALL SELECT 'pages-2-' || page_id, 'get_documents', NULL, 'c', NULL, 10, md5(url), NULL, NULL
+  UNION ALL SELECT 'pages-2-' || page_id, 'get_documents', NULL, 'c', NULL, '10', md5(url), NULL, NULL
     FROM pages
   UNION ALL SELECT 'labels-1-' || doc_id, 'list_collections', NULL,
     NULL, NULL, NULL, NULL, NULL, NULL FROM labels
@@ -315,12 +315,12 @@ def oracle_sql() -> dict[str, str]:
               source || ' ' || line AS title, content, line::VARCHAR AS line, 'txt' AS source_type
             FROM lines WHERE {_strip('content')} <> ''""",
         "embed_text": f"""WITH {_bag('bag', 'documents', 'doc_id')}
-            SELECT doc_id, bucket, round(weight, 6) AS weight FROM bag""",
+            SELECT doc_id, bucket::INTEGER AS bucket, round(weight, 6) AS weight FROM bag""",
         "embed_query": f"""WITH {_bag('bag', 'benchmark', 'item_id')}
-            SELECT item_id AS query_id, bucket, round(weight, 6) AS weight FROM bag""",
+            SELECT item_id AS query_id, bucket::INTEGER AS bucket, round(weight, 6) AS weight FROM bag""",
         "vector_size": """SELECT 64 AS document_size, count(*) AS documents, 64 AS vector_size
             FROM documents""",
-        "check_vectors": """SELECT vec_id, variant, CASE variant
+        "check_vectors": """SELECT vec_id, variant::INTEGER AS variant, CASE variant
               WHEN 0 THEN NULL WHEN 1 THEN 'bad_vector'
               WHEN 2 THEN CASE WHEN list_max(embedding) > 0.2::FLOAT THEN 'bad_vector' END
               ELSE CASE WHEN list_max(embedding) >= 0.2::FLOAT THEN 'bad_vector' END END AS reason
@@ -335,11 +335,11 @@ def oracle_sql() -> dict[str, str]:
             FROM conversations""",
         "points_distinct": f"WITH {TEXT_POINTS} SELECT point_id, ordinal, copies FROM text_points",
         "ensure_collection": f"""WITH {LOG} SELECT DISTINCT collection AS name,
-            64 AS vector_size, 'cosine' AS distance, 5 AS batch_id, false AS deleted FROM log
+            64 AS vector_size, 'cosine' AS distance, 5::BIGINT AS batch_id, false AS deleted FROM log
             WHERE collection NOT IN (SELECT lang FROM documents
               WHERE lang <> (SELECT min(lang) FROM documents))""",
         "create_collection": """SELECT DISTINCT source AS name, 128 AS vector_size,
-            'cosine' AS distance, 0 AS batch_id, false AS deleted FROM documents""",
+            'cosine' AS distance, 0::BIGINT AS batch_id, false AS deleted FROM documents""",
         "batch_plan": """SELECT conv_id * 1048576 + turn AS ordinal,
             (row_number() OVER (ORDER BY conv_id, turn) - 1) // 32 AS batch FROM conversations""",
         "upsert_latest":
@@ -368,14 +368,14 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY ALL""",
         "search_vector": f"""WITH {VECTORS}, scored AS (
               SELECT point_id, {_cosine('v', probe)} AS score FROM vectors)
-            SELECT row_number() OVER (ORDER BY score DESC, point_id) AS rank, point_id,
+            SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id,
               round(score, 6) AS score FROM scored ORDER BY scored.score DESC, point_id LIMIT 10""",
         "search_text": f"""WITH {TEXT_VECTORS},
             asked AS (SELECT 0 AS id, {_lit(QUERY)} AS text), {_bag('asked_bag', 'asked', 'id')},
             {_dense('asked_vector', 'asked_bag', 'asked', 'id')},
             scored AS (SELECT point_id, {_cosine('d.v', 'a.v')} AS score
               FROM doc_vectors d, asked_vector a)
-            SELECT row_number() OVER (ORDER BY score DESC, point_id) AS rank, point_id, text,
+            SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id, text,
               round(score, 6) AS score FROM scored JOIN text_points USING (point_id)
             ORDER BY scored.score DESC, point_id LIMIT 10""",
         "search_batch": f"""WITH {TEXT_VECTORS}, {_bag('asked_bag', 'benchmark', 'item_id')},
@@ -383,7 +383,7 @@ def oracle_sql() -> dict[str, str]:
             scored AS (SELECT item_id, point_id, {_cosine('d.v', 'a.v')} AS score
               FROM doc_vectors d, asked_vectors a),
             ranked AS (SELECT *, row_number() OVER (
-              PARTITION BY item_id ORDER BY score DESC, point_id) AS rank FROM scored)
+              PARTITION BY item_id ORDER BY score DESC, point_id)::INTEGER AS rank FROM scored)
             SELECT item_id AS query_id, rank, point_id, text, round(score, 6) AS score
             FROM ranked JOIN text_points USING (point_id) WHERE rank <= 10""",
         "search_all_vectors": f"""WITH {VECTORS}, {_ranked(10)}
