@@ -111,8 +111,9 @@ def _mixed_sources(spark, d) -> DataFrame:
         (F.col("doc_id") * 3 + 2).alias("ordinal"), "source"))
 
 
-def _texts(spark, d) -> DataFrame:
-    return _table(spark, d, "documents").select(
+def _texts(spark, d, spread_out: bool = False) -> DataFrame:
+    documents = _table(spark, d, "documents")
+    return (spread(documents) if spread_out else documents).select(
         F.col("doc_id").alias("ordinal"), "text",
         F.create_map(F.lit("source"), F.col("source")).alias("metadata"),
         F.col("lang").alias("collection"))
@@ -180,7 +181,7 @@ def _live_of(spark, d, name: str) -> DataFrame:
 def _text_points(spark, d) -> DataFrame:
     """Embedded documents, each text once."""
     return P.points_from_texts(
-        _texts(spark, d).drop("collection"), distinct=True)
+        _texts(spark, d, True).drop("collection"), distinct=True)
 
 
 def _vectors(spark, d) -> DataFrame:

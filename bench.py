@@ -34,8 +34,6 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.files.maxPartitionBytes", "2m")
-        .config("spark.sql.files.openCostInBytes", "65536")
         .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     queries = importlib.import_module("__spark_entry__").queries()

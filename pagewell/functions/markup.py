@@ -71,18 +71,23 @@ ATTRIBUTE = r"""([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)"""
 
 # Text and the tag after it; quotes must be closed and hold no angle brackets.
 TEXT_AND_TAG = (
-    r"""[^<]*+(?:<(/?[a-zA-Z][a-zA-Z0-9:-]*+)"""
+    r"""[^<]*+(?:<(/?[a-zA-Z][a-zA-Z0-9:-]*+|!----|!(?i:doctype))"""
     r"""(?:[^<>"'/]++|"[^"<>]*+"|'[^'<>]*+'|/(?!>))*+(/?)>|$)""")
 
-# How many levels of nesting `is_plain` unwinds.
-PLAIN_DEPTH = 32
+# How often `is_plain` unwinds two levels of nesting.
+PLAIN_PASSES = 12
+
+
+def inside(name: str) -> str:
+    """Pattern of everything up to the end tag, in runs instead of single characters."""
+    return f"(?:[^<]++|<(?!/{name}\\s*>))*+"
 
 
 def element(name: str) -> str:
-    """Pattern of an element with its content, up to the first end tag."""
+    """Pattern of an element with its content, up to the first end tag, after its `<`."""
     if name in VOID:
-        return f"<{name}(?:[\\s/][^>]*)?>"
-    return f"<{name}(?:[\\s/][^>]*)?>.*?</{name}\\s*>"
+        return f"{name}(?:[\\s/][^>]*)?>"
+    return f"{name}(?:[\\s/][^>]*)?>{inside(name)}</{name}\\s*>"
 
 
 def excluded_names(names: Sequence[str] | None) -> tuple[str, ...]:
@@ -92,7 +97,7 @@ def excluded_names(names: Sequence[str] | None) -> tuple[str, ...]:
 
 def opaque_pattern(names: Sequence[str] = OPAQUE) -> str:
     """Comments and opaque elements, read in document order."""
-    return "(?is)" + "|".join(["<!--.*?-->", *(element(n) for n in names)])
+    return "(?i)<(?:" + "|".join(["!--(?:[^-]++|-(?!->))*+-->", *(element(n) for n in names)]) + ")"
 
 
 def strip_opaque(html: Column) -> Column:
@@ -105,7 +110,7 @@ def strip_named(html: Column, names: Sequence[str] | None = None) -> Column:
     named = [n for n in excluded_names(names) if n not in OPAQUE]
     if not named:
         return html
-    return F.regexp_replace(html, "(?is)" + "|".join(element(n) for n in named), GAP)
+    return F.regexp_replace(html, "(?i)<(?:" + "|".join(element(n) for n in named) + ")", GAP)
 
 
 def strip_elements(html: Column, names: Sequence[str] | None = None) -> Column:
@@ -142,12 +147,13 @@ def text_nodes(html: Column, separator: str) -> Column:
 def raw_title(stripped: Column) -> Column:
     """Markup of the first title."""
     return F.regexp_extract(
-        stripped, r"(?is)<title(?:[\s/][^>]*)?>([^<]*)</title\s*>", 1)
+        stripped, r"(?i)<title(?:[\s/][^>]*)?>([^<]*+)</title\s*>", 1)
 
 
 def raw_heading(stripped: Column) -> Column:
     """Markup inside the first h1."""
-    return F.regexp_extract(stripped, r"(?is)<h1(?:[\s/][^>]*)?>(.*?)</h1\s*>", 1)
+    return F.regexp_extract(
+        stripped, rf"(?i)<h1(?:[\s/][^>]*)?>({inside('h1')})</h1\s*>", 1)
 
 
 def page_title(stripped: Column) -> Column:
@@ -162,7 +168,7 @@ def main_region(stripped: Column) -> Column:
     region = stripped
     for name in reversed(REGIONS):
         close = r"(?:</body\s*>|\z)" if name == "body" else f"</{name}\\s*>"
-        pattern = f"(?is)<{name}(?:[\\s/][^>]*)?>(.*?){close}"
+        pattern = f"(?i)<{name}(?:[\\s/][^>]*)?>({inside(name)}){close}"
         region = F.when(
             F.regexp_like(stripped, F.lit(f"(?i)<{name}[\\s/>]")),
             F.regexp_extract(stripped, pattern, 1),
@@ -221,9 +227,8 @@ def metadata_map(domain: Column, path: Column, meta: Column) -> Column:
 
 def bare_tags(opaque_stripped: Column) -> Column:
     """The page reduced to its tag names: `<html><p></p>`; odd markup stays as it is."""
-    bare = F.regexp_replace(opaque_stripped, "(?i)" + GAP + "|<!doctype[^<>]*>", "")
-    bare = F.replace(F.regexp_replace(bare, TEXT_AND_TAG, "<$1$2>"), F.lit("<>"), F.lit(""))
-    return F.lower(bare)
+    bare = F.regexp_replace(opaque_stripped, TEXT_AND_TAG, "<$1$2>")
+    return F.lower(F.replace(bare, F.lit("<>"), F.lit("")))
 
 
 def is_plain(
@@ -240,17 +245,21 @@ def is_plain(
     matched = "|".join(sorted({*excluded, "main", "article", "title", "h1"}))
     odd = [F.contains(html, F.lit(part)) for part in (MARK, "<!-->", "<!--->", "--!>")]
     known = "|".join(e[1:-1] for e, _ in ENTITIES)
+    odd.append(F.contains(opaque_stripped, F.lit("&")) & F.regexp_like(
+        opaque_stripped, F.lit(f"&(?!(?:{known});|amp[^-.;A-Za-z0-9])[a-zA-Z#]")))
     odd.append(F.regexp_like(opaque_stripped, F.lit(
-        f"&(?!(?:{known});|amp[^-.;A-Za-z0-9])[a-zA-Z#]"
-        r"|(?i)<title(?:[\s/][^>]*)?>[^<]*+<(?!/title)")))
+        r"(?i)<title(?:[\s/][^>]*)?>[^<]*+<(?!/title)")))
     odd.append(F.regexp_like(bare, F.lit(
-        f"<({matched}|body)>(?:<(?!/?\\1>)[^<>]*>)*+<\\1>"
-        f"|<(?:{'|'.join((*SPECIAL, *OPAQUE))})/?>"
-        f"|<(?:{matched}|body)/>")))
-    rest = F.regexp_replace(bare, f"<(?:{'|'.join(VOID)})/?>|<[^<>/]+/>", "")
-    start = f"<(?!/|(?:{matched})>)[^<>]*>"
-    closing = f"<([a-z][a-z0-9:-]*)>(?:(?!<\\1>){start})*+</\\1>|(?:{start})++$"
+        f"<(?:({matched}|body)>(?:<(?!/?\\1>)[^<>]*>)*+<\\1>"
+        f"|(?:{'|'.join((*SPECIAL, *OPAQUE))})/?>"
+        f"|(?:{matched}|body)/>)")))
+    void = "|".join((*VOID, "!----", "!doctype"))
+    rest = F.regexp_replace(bare, f"<(?:(?:{void})/?|[^<>/]+/)>", "")
+    start = f"<(?![/!]|(?:{matched})>)[^<>]*>"
+    name = "[a-z][a-z0-9:-]*+"
+    closing = (
+        f"<({name})>(?:<({name})></\\2>|(?!<\\1>){start})*+</\\1>|(?:{start})++$")
     rest = F.aggregate(
-        F.sequence(F.lit(1), F.lit(PLAIN_DEPTH)), rest,
-        lambda tags, _: F.regexp_replace(tags, closing, ""))
+        F.sequence(F.lit(1), F.lit(PLAIN_PASSES)), rest,
+        lambda tags, _: F.when(tags == "", tags).otherwise(F.regexp_replace(tags, closing, "")))
     return ~F.array_contains(F.array(*odd, rest != ""), F.lit(True))

@@ -5,7 +5,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from pagewell.functions.hashing import WORD, hashed_embedder
+from pagewell.functions.hashing import BETWEEN_WORDS, hashed_embedder
 from pagewell.operators import nearby as N
 from pagewell.operators import search as S
 from pagewell.operators.embed import check_vectors, embed_text, vector_size
@@ -112,11 +112,26 @@ def test_nearby_with_full_radius_is_exact(sets):
     assert N.recall(exact, exact).first().recall == 1.0
 
 
-def test_words_are_letters_and_digits():
-    for code in range(0x110000):
-        char = chr(code)
-        if bool(WORD.fullmatch(char)) != (unicodedata.category(char)[0] in "LN"):
-            raise AssertionError(hex(code))
+def test_words_are_letters_and_digits(rows):
+    """Of a text with one character of every kind between marks."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    chars = [chr(c) for c in range(1, 0x3000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    parts = pc.split_pattern_regex(pa.array(chars), pattern=BETWEEN_WORDS).to_pylist()
+    for char, part in zip(chars, parts):
+        assert (part == [char]) == (unicodedata.category(char)[0] in "LN"), hex(ord(char))
+
+
+def test_chunks_do_not_change_vectors(rows, monkeypatch):
+    import pyarrow as pa
+
+    from pagewell.functions import hashing
+    texts = pa.array(["a b a", "", "c-d", "Ä ö 1x"] * 5)
+    slots = hashing._Slots(8)
+    whole = hashing._vectors(texts, slots)
+    monkeypatch.setattr(hashing, "REMEMBERED", 2)
+    small = [hashing._vectors(texts.slice(i, 1), hashing._Slots(8)) for i in range(len(texts))]
+    assert (whole == [s[0] for s in small]).all()
 
 
 def test_embedder(rows, spark):
