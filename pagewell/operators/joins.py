@@ -1,4 +1,4 @@
-"""Joins that stay balanced when one key holds much of the data."""
+"""A join that stays balanced when one key holds much of the data."""
 
 from collections.abc import Sequence
 

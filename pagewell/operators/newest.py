@@ -6,6 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _winners(rows: DataFrame, keys: Sequence[str], order: Sequence[str], *more) -> DataFrame:
+    """Keys and order columns of the last row per key."""
+    if len(order) == 1:
+        # A maximum of one number is kept in a hash table; one of a struct is sorted for.
+        return rows.groupBy(*keys).agg(F.max(order[0]).alias(order[0]), *more)
+    last = rows.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"), *more)
+    return last.select(
+        *keys, *(F.col("_last")[o].alias(o) for o in order),
+        *(c for c in last.columns if c not in (*keys, "_last")))
+
+
 def newest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Per key the row that is last in `order`; the order must be distinct per key.
 
@@ -13,14 +24,10 @@ def newest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     before the shuffle, and the rows are picked by a semi-join on keys and order. A
     key with many rows is therefore spread over all tasks by its order values.
     """
-    last = rows.groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
-    winners = last.select(*keys, *(F.col("_last")[o].alias(o) for o in order))
-    return rows.join(winners, [*keys, *order], "left_semi")
+    return rows.join(_winners(rows, keys, order), [*keys, *order], "left_semi")
 
 
 def newest_with_copies(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """`newest`, with the number of rows each winner stands for in `copies`."""
-    last = rows.groupBy(*keys).agg(
-        F.max(F.struct(*order)).alias("_last"), F.count(F.lit(1)).alias("copies"))
-    winners = last.select(*keys, *(F.col("_last")[o].alias(o) for o in order), "copies")
-    return rows.join(winners, [*keys, *order])
+    copies = F.count(F.lit(1)).alias("copies")
+    return rows.join(_winners(rows, keys, order, copies), [*keys, *order])

@@ -11,7 +11,7 @@ from pagewell.operators.newest import newest_with_copies
 from pagewell.operators.points import points_from_documents
 from pagewell.plans.registry import PARSERS, Parser
 from pagewell.plans.store import CollectionStore
-from pagewell.sources.content import load_content
+from pagewell.sources.content import fetched_content, missing_content
 from pagewell.sources.listing import accepted, rejected, route_sources
 
 DEFAULT_COLLECTION = "documents"
@@ -20,23 +20,25 @@ DEFAULT_COLLECTION = "documents"
 def parse_sources(
     sources: DataFrame, pages: DataFrame | None = None, source_type: str | None = None,
     timestamp: datetime | str | None = None, parsers: Mapping[str, Parser] | None = None,
+    distinct: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents and rejects of a source list (`ordinal, source`).
 
     The content comes from `pages` (`source, content`, one row per source), or from
-    a `content` column of the sources themselves. Columns `copies` of the sources
-    are passed on.
+    a `content` column of the sources themselves. A column `copies` of the sources
+    is passed on. `distinct` says that no source comes twice.
     """
     parsers = PARSERS if parsers is None else parsers
     routed = route_sources(sources, list(parsers), source_type)
     known = accepted(routed)
     if pages is not None:
-        loaded = load_content(known, pages)
+        fetched = fetched_content(known, pages, distinct)
+        missing = missing_content(known, pages)
     else:
-        loaded = known.withColumn(
-            "reason", F.when(F.col("content").isNull(), F.lit("not_fetched")))
-    rejects = rejected(routed).unionByName(rejected(loaded))
-    fetched = accepted(loaded)
+        fetched = known.where(F.col("content").isNotNull())
+        missing = known.where(F.col("content").isNull()).withColumn(
+            "reason", F.lit("not_fetched"))
+    rejects = rejected(routed).unionByName(rejected(missing))
     documents = None
     for name, parser in parsers.items():
         found = parser(fetched.where(F.col("source_type") == name).drop("source_type"),
@@ -76,7 +78,8 @@ def ingest_points(
         once = newest_with_copies(there, ["source"], ["ordinal"])
     else:
         once = sources.withColumn("copies", F.lit(1).cast("long"))
-    documents, rejects = parse_sources(once, pages, source_type, timestamp, parsers)
+    documents, rejects = parse_sources(
+        once, pages, source_type, timestamp, parsers, distinct=True)
     if gone is not None:
         _, missing = parse_sources(gone, None, source_type, timestamp, parsers)
         rejects = rejects.unionByName(missing)

@@ -26,6 +26,25 @@ def load_content(sources: DataFrame, pages: DataFrame) -> DataFrame:
         "reason", F.when(F.col("content").isNull(), F.lit("not_fetched")))
 
 
+def fetched_content(sources: DataFrame, pages: DataFrame, distinct: bool) -> DataFrame:
+    """Those sources that have content, with it.
+
+    For `distinct` sources this is a plain inner join, so the smaller side may be
+    broadcast: a short list of sources does not shuffle a large table of pages.
+    """
+    found = pages.where(F.col("content").isNotNull()).select("source", "content")
+    if distinct:
+        return sources.join(found, "source")
+    return join_unique(sources, found, ["source"], F.col("ordinal"), "inner")
+
+
+def missing_content(sources: DataFrame, pages: DataFrame) -> DataFrame:
+    """Those sources that have none, with `reason`; reads no content."""
+    found = pages.where(F.col("content").isNotNull()).select("source")
+    return sources.join(found, "source", "left_anti").withColumn(
+        "reason", F.lit("not_fetched"))
+
+
 def read_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Whole text files as `source, content`; the source is the path."""
     return spark.read.text(paths, wholetext=True).select(
