@@ -21,6 +21,7 @@ from pagewell.operators import nearby as N
 from pagewell.operators import points as P
 from pagewell.operators import requests as R
 from pagewell.operators import search as S
+from pagewell.plans import answers as A
 from pagewell.operators.embed import check_vectors, embed_text, vector_size
 from pagewell.operators.parse import parse_pages, parse_rows
 from pagewell.plans.ingest import ingest_points, parse_sources
@@ -507,6 +508,16 @@ def requested_documents(spark, d):
     return found.select("request_id", "collection", "position", "text")
 
 
+def answer_searches(spark, d):
+    """Every benchmark text asks twice, with its number as limit and with the default."""
+    points = _text_points(spark, d).withColumn("collection", F.lit("c"))
+    answers = A.answer_searches(points, _requests(spark, d))
+    hits = answers.select("request_id", F.explode(F.from_json(
+        "result", "array<struct<id:string,score:double>>")).alias("hit"))
+    return hits.select("request_id", F.col("hit")["id"].alias("point_id"),
+                       F.round(F.col("hit")["score"], 6).alias("score"))
+
+
 def render_json(spark, d):
     """The hits of each vector that asks for its three nearest, as JSON."""
     hits = S.top_k_pairs(_vectors(spark, d), _vector_queries(spark, d), 3)
@@ -613,6 +624,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_recall": search_recall,
         "decode_requests": decode_requests,
         "requested_documents": requested_documents,
+        "answer_searches": answer_searches,
         "render_json": render_json,
         "render_page": render_page,
         "ingest_job": ingest_job,

@@ -192,6 +192,14 @@ TEXT_VECTORS = (
     TEXT_POINTS + "," + _bag("doc_bag", "text_points", "point_id") + ","
     + _dense("doc_vectors", "doc_bag", "text_points", "point_id"))
 
+BATCH = (
+    TEXT_VECTORS + "," + _bag("asked_bag", "benchmark", "item_id") + ","
+    + _dense("asked_vectors", "asked_bag", "benchmark", "item_id") + f""",
+scored AS (SELECT item_id, point_id, {_cosine('d.v', 'a.v')} AS score
+  FROM doc_vectors d, asked_vectors a),
+ranked AS (SELECT *, row_number() OVER (
+  PARTITION BY item_id ORDER BY score DESC, point_id)::INTEGER AS rank FROM scored)""")
+
 VECTORS = """
 vectors AS (SELECT vec_id, vec_id::VARCHAR AS point_id, embedding::DOUBLE[] AS v FROM embeddings)"""
 
@@ -378,14 +386,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id, text,
               round(score, 6) AS score FROM scored JOIN text_points USING (point_id)
             ORDER BY scored.score DESC, point_id LIMIT 10""",
-        "search_batch": f"""WITH {TEXT_VECTORS}, {_bag('asked_bag', 'benchmark', 'item_id')},
-            {_dense('asked_vectors', 'asked_bag', 'benchmark', 'item_id')},
-            scored AS (SELECT item_id, point_id, {_cosine('d.v', 'a.v')} AS score
-              FROM doc_vectors d, asked_vectors a),
-            ranked AS (SELECT *, row_number() OVER (
-              PARTITION BY item_id ORDER BY score DESC, point_id)::INTEGER AS rank FROM scored)
+        "search_batch": f"""WITH {BATCH}
             SELECT item_id AS query_id, rank, point_id, text, round(score, 6) AS score
             FROM ranked JOIN text_points USING (point_id) WHERE rank <= 10""",
+        "answer_searches": f"""WITH {BATCH}
+            SELECT 'benchmark-1-' || item_id AS request_id, point_id, round(score, 6) AS score
+            FROM ranked WHERE rank <= item_id
+            UNION ALL SELECT 'benchmark-2-' || item_id, point_id, round(score, 6)
+            FROM ranked WHERE rank <= 10""",
         "search_all_vectors": f"""WITH {VECTORS}, {_ranked(10)}
             SELECT query_id, rank, point_id, round(score, 6) AS score FROM hits""",
         "search_blocks": f"""WITH {VECTORS}, {_ranked(10)}

@@ -73,17 +73,19 @@ def search_vector(
 
 @dataclass
 class Queries:
-    """A block of queries: ids, unit vectors, and the cell each one looks at."""
+    """A block of queries: ids, unit vectors, the cell each looks at, hits wanted."""
 
     ids: pa.Array
     units: np.ndarray
     cells: np.ndarray
+    limits: np.ndarray
 
     @classmethod
     def read(cls, table: pa.Table) -> "Queries":
         return cls(
             _chunk(table["query_id"]), _unit_rows(_chunk(table["query_vector"])),
-            table["cell"].to_numpy(zero_copy_only=False))
+            table["cell"].to_numpy(zero_copy_only=False),
+            table["limit"].to_numpy(zero_copy_only=False))
 
 
 def _chunk(column) -> pa.Array:
@@ -109,37 +111,39 @@ def _unit_rows(vectors: pa.Array) -> np.ndarray:
 
 
 class TopK:
-    """Best k points per query of what has been added."""
+    """Best points per query of what has been added."""
 
-    def __init__(self, queries: Queries, k: int):
+    def __init__(self, queries: Queries):
         self.queries = queries
-        self.k = k
         self.found = [pd.DataFrame({
             "query": np.empty(0, np.int64), "score": np.empty(0), "point_id": []})]
         self.waiting = 0
         self.floor = np.full(len(queries.cells), -np.inf)
-        self.members = {c: np.flatnonzero(queries.cells == c) for c in np.unique(queries.cells)}
+        # Queries of one cell that want equally many hits are scored together.
+        self.members: dict = {}
+        groups = pd.DataFrame({"cell": queries.cells, "limit": queries.limits})
+        for (cell, limit), at in groups.groupby(["cell", "limit"]).indices.items():
+            if limit > 0:
+                self.members.setdefault(cell, []).append((int(limit), np.sort(at)))
 
     def add(self, ids: pa.Array, vectors: pa.Array, cells: np.ndarray) -> None:
-        if len(ids) == 0 or self.k < 1:
+        if len(ids) == 0 or not self.members:
             return
         units = _unit_rows(vectors)
         if units.shape[1] != self.queries.units.shape[1]:
             raise ValueError("Vectors and queries differ in length")
         for cell in np.unique(cells):
-            members = self.members.get(cell)
-            if members is None:
-                continue
             rows = np.flatnonzero(cells == cell)
             step = max(1, SCORES_HELD // len(rows))
-            for start in range(0, len(members), step):
-                self._candidates(ids, units, rows, members[start:start + step])
+            for limit, members in self.members.get(cell, ()):
+                for start in range(0, len(members), step):
+                    self._candidates(ids, units, rows, members[start:start + step], limit)
 
-    def _candidates(self, ids, units, rows, columns) -> None:
+    def _candidates(self, ids, units, rows, columns, limit) -> None:
         approximate = units[rows] @ self.queries.units[columns].T
         floor = self.floor[columns]
-        if len(rows) > self.k:
-            kth = len(rows) - self.k
+        if len(rows) > limit:
+            kth = len(rows) - limit
             floor = np.maximum(floor, np.partition(approximate, kth, axis=0)[kth])
         at, of = np.nonzero(approximate >= floor - SLACK)
         for start in range(0, len(at), PAIR_CHUNK):
@@ -151,15 +155,16 @@ class TopK:
                 "query": query, "score": np.round(exact, SCORE_DIGITS) + 0.0,
                 "point_id": ids.take(pa.array(row)).to_pylist()}))
             self.waiting += len(row)
-            if self.waiting > max(PAIR_CHUNK, self.k * len(self.floor)):
+            if self.waiting > max(PAIR_CHUNK, self.queries.limits.sum()):
                 self._keep()
 
     def _keep(self) -> None:
         hits = pd.concat(self.found, ignore_index=True).sort_values(
             ["query", "score", "point_id"], ascending=[True, False, True])
-        best = hits[hits.groupby("query").cumcount() < self.k].reset_index(drop=True)
+        wanted = self.queries.limits[hits["query"].to_numpy(np.int64)]
+        best = hits[hits.groupby("query").cumcount() < wanted].reset_index(drop=True)
         counts = best.groupby("query")["score"].agg(["size", "min"])
-        full = counts[counts["size"] == self.k]
+        full = counts[counts["size"] == self.queries.limits[counts.index.to_numpy(np.int64)]]
         self.floor[full.index.to_numpy(np.int64)] = full["min"].to_numpy()
         self.found, self.waiting = [best], 0
 
@@ -169,6 +174,7 @@ class TopK:
         rows = pa.array(best["query"].to_numpy(), pa.int64())
         columns = [
             self.queries.ids.take(rows),
+            pa.array(self.queries.limits).take(rows),
             pa.array(best["point_id"].to_numpy()),
             pa.array(best["score"].to_numpy(), pa.float64())]
         return pa.RecordBatch.from_arrays(
@@ -181,10 +187,11 @@ def _add_batch(top: TopK, batch) -> None:
         batch.column("cell").to_numpy(zero_copy_only=False))
 
 
-def _rank(hits: DataFrame, k: int) -> DataFrame:
+def _rank(hits: DataFrame, k: int | None) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "point_id")
+    wanted = F.col("limit") if k is None else F.lit(k)
     return hits.withColumn("rank", F.row_number().over(best)).where(
-        F.col("rank") <= k).select("query_id", "rank", "point_id", "score")
+        F.col("rank") <= wanted).select("query_id", "rank", "point_id", "score")
 
 
 def _cells(rows: DataFrame, match: Sequence[str]) -> Column:
@@ -193,12 +200,15 @@ def _cells(rows: DataFrame, match: Sequence[str]) -> Column:
 
 
 def top_k_pairs(
-    points: DataFrame, queries: DataFrame, k: int = DEFAULT_LIMIT, match: Sequence[str] = (),
+    points: DataFrame, queries: DataFrame, k: int | None = DEFAULT_LIMIT,
+    match: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES, query_block: int = QUERY_BLOCK,
     point_slice: int = POINT_SLICE,
 ) -> DataFrame:
     """`query_id, rank, point_id, score` of the k best points of every query, exactly.
 
+    With `k=None` every query brings a `limit` of its own.
+
     `points` has `point_id, vector`, `queries` has distinct `query_id` and
     `query_vector`. A query only sees points with equal `match` columns; a query may
     have several rows, one per cell it looks at. Queries up to `broadcast_bytes` go
@@ -208,10 +218,13 @@ def top_k_pairs(
     id_type = queries.schema["query_id"].dataType
     hits_type = T.StructType([
         T.StructField("query_id", id_type),
+        T.StructField("limit", T.LongType()),
         T.StructField("point_id", points.schema["point_id"].dataType),
         T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(hits_type)
-    wanted = queries.select("query_id", "query_vector", _cells(queries, match).alias("cell"))
+    limit = (F.col("limit") if k is None else F.lit(k)).cast("long").alias("limit")
+    wanted = queries.select(
+        "query_id", "query_vector", _cells(queries, match).alias("cell"), limit)
     scanned = points.select("point_id", "vector", _cells(points, match).alias("cell"))
 
     asked = wanted.agg(
@@ -224,7 +237,7 @@ def top_k_pairs(
         def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if shared is None:
                 return
-            top = TopK(Queries.read(_from_ipc(shared.value)), k)
+            top = TopK(Queries.read(_from_ipc(shared.value)))
             for batch in batches:
                 _add_batch(top, batch)
             yield top.batch(schema)
@@ -244,7 +257,7 @@ def top_k_pairs(
     def meet(asking: pa.Table, offered: pa.Table) -> pa.Table:
         if asking.num_rows == 0 or offered.num_rows == 0:
             return schema.empty_table()
-        top = TopK(Queries.read(asking), k)
+        top = TopK(Queries.read(asking))
         for batch in offered.to_batches(10_000):
             _add_batch(top, batch)
         return pa.Table.from_batches([top.batch(schema)])
@@ -265,16 +278,18 @@ def _from_ipc(data: bytes) -> pa.Table:
         return reader.read_all()
 
 
-def with_payload(hits: DataFrame, points: DataFrame, most: int | None = None) -> DataFrame:
-    """Adds the payload of the hit points.
+def with_payload(
+    hits: DataFrame, points: DataFrame, most: int | None = None, match: Sequence[str] = (),
+) -> DataFrame:
+    """Adds the payload of the hit points, found by id and the `match` columns.
 
     `most` is a proven upper bound on the number of hits. Hits known to be few are
     broadcast to the scan of the payloads; others are joined by id, where a point hit
     by very many queries is split up by the adaptive skew join.
     """
     few = most is not None and most <= BROADCAST_HITS
-    return points.select("point_id", "payload").join(
-        F.broadcast(hits) if few else hits, "point_id"
+    return points.select("point_id", *match, "payload").join(
+        F.broadcast(hits) if few else hits, ["point_id", *match]
     ).select("query_id", "rank", "point_id", "score", "payload")
 
 
@@ -284,13 +299,18 @@ def embed_queries(queries: DataFrame, embedder: Embedder | None = None) -> DataF
 
 
 def search_batch(
-    points: DataFrame, queries: DataFrame, k: int = DEFAULT_LIMIT,
+    points: DataFrame, queries: DataFrame, k: int | None = DEFAULT_LIMIT,
     embedder: Embedder | None = None, match: Sequence[str] = (), payload: bool = True,
 ) -> DataFrame:
-    """k hits for every query text of `query_id, query`."""
-    asked = embed_queries(queries, embedder)
-    hits = top_k_pairs(points, asked, k, match)
-    return with_payload(hits, points, queries.count() * k) if payload else hits
+    """k hits for every query text of `query_id, query`, or as many as its `limit` says."""
+    hits = top_k_pairs(points, embed_queries(queries, embedder), k, match)
+    if not payload:
+        return hits
+    most = queries.count() * k if k is not None else queries.agg(F.sum("limit")).first()[0] or 0
+    kept = [m for m in match if m != "point_id"]
+    if kept:
+        hits = hits.join(queries.select("query_id", *kept), "query_id")
+    return with_payload(hits, points, most, kept)
 
 
 def search_text(

@@ -7,6 +7,7 @@ from pagewell.operators import collections as C
 from pagewell.operators import points as P
 from pagewell.operators import requests as R
 from pagewell.operators.ordering import number_by_ordinal
+from pagewell.plans.answers import answer_searches
 from pagewell.plans.ingest import ingest, ingest_points
 from pagewell.plans.registry import PARSERS
 from pagewell.plans.store import CollectionStore
@@ -298,3 +299,19 @@ def test_json(rows, store, texts):
     assert empty == {"documents": [], "next_offset": None}
     assert R.stored_json(rows("stored_count long", (2,))).first().result == '{"stored_count":2}'
     assert R.deleted_json(rows("name string", ("c",))).first().result == '{"deleted":true}'
+
+
+def test_search_requests_of_several_collections(rows):
+    texts = rows("collection string, ordinal long, text string", ("a", 0, "red apple"), ("a", 1, "red sky"),
+                 ("b", 2, "red apple"), ("b", 3, "green"))
+    points = P.points_from_texts(texts).join(texts.select("ordinal", "collection"), "ordinal")
+    requests = rows(
+        "request_id long, tool string, args string",
+        (1, "search", '{"collection_name": "a", "query": "red apple", "limit": 1}'),
+        (2, "search", '{"collection_name": "b", "query": "red apple", "limit": 2}'),
+        (3, "search", '{"collection_name": "none", "query": "red"}'),
+        (4, "search", '{"query": "red"}'),
+        (5, "search", '{"collection_name": "a", "query": "sky", "limit": 0}'))
+    got = {r.request_id: [h["payload"]["text"] for h in json.loads(r.result)]
+           for r in answer_searches(points, requests).collect()}
+    assert got == {1: ["red apple"], 2: ["red apple", "green"], 3: [], 5: []}

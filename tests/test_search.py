@@ -58,7 +58,8 @@ def test_block_join_like_brute_force(sets):
 
 def test_small_chunks_give_the_same(sets, monkeypatch):
     points, queries, frame, asked = sets
-    top = S.TopK(S.Queries.read(asked.withColumn("cell", F.lit(0)).toArrow()), 5)
+    top = S.TopK(S.Queries.read(
+        asked.withColumn("cell", F.lit(0)).withColumn("limit", F.lit(5)).toArrow()))
     monkeypatch.setattr(S, "PAIR_CHUNK", 64)
     monkeypatch.setattr(S, "SCORES_HELD", 100)
     for batch in frame.withColumn("cell", F.lit(0)).toArrow().to_batches(37):
@@ -95,6 +96,15 @@ def test_queries_see_only_their_collection(sets, spark):
     assert other.count() == 0
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "query_block": 5, "point_slice": 100}])
+def test_every_query_has_its_own_limit(sets, options):
+    points, queries, frame, asked = sets
+    limited = asked.withColumn("limit", F.col("query_id") % 4)
+    hits = S.top_k_pairs(frame, limited, None, **options)
+    assert got(hits) == sorted(
+        row for q, v in queries for row in want(points, [(q, v)], q % 4))
+
+
 def test_wrong_length_is_an_error(sets):
     _, _, frame, _ = sets
     with pytest.raises(Exception, match="differ in length"):
