@@ -206,10 +206,6 @@ def _sparse(rows: DataFrame, key: str, vector: str = "vector") -> DataFrame:
         key, "bucket", F.round(F.col("_w").cast("double"), 6).alias("weight"))
 
 
-def _rounded(hits: DataFrame, *columns: str) -> DataFrame:
-    return hits.select(*columns, F.round("score", 6).alias("score"))
-
-
 def _requests(spark, d) -> DataFrame:
     """Good and bad requests made of whole tables."""
     def call(table, number, key, tool, args):
@@ -451,38 +447,34 @@ def count_documents(spark, d):
 
 def search_vector(spark, d):
     probe = [(-1.0) ** i / (1 + i) for i in range(64)]
-    return _rounded(S.search_vector(_vectors(spark, d), probe, 10), "rank", "point_id")
+    return S.search_vector(_vectors(spark, d), probe, 10).select("rank", "point_id", "score")
 
 
 def search_text(spark, d):
     hits = S.search_text(_text_points(spark, d), entry_sql.QUERY, 10)
-    return _rounded(hits.withColumn("text", F.col("payload")["text"]),
-                    "rank", "point_id", "text")
+    return hits.select("rank", "point_id", F.col("payload")["text"].alias("text"), "score")
 
 
 def search_batch(spark, d):
     hits = S.search_batch(_text_points(spark, d), _text_queries(spark, d), 10)
-    return _rounded(hits.withColumn("text", F.col("payload")["text"]),
-                    "query_id", "rank", "point_id", "text")
+    return hits.select(
+        "query_id", "rank", "point_id", F.col("payload")["text"].alias("text"), "score")
 
 
 def search_all_vectors(spark, d):
     """Every vector asks for its ten nearest."""
-    hits = S.top_k_pairs(_vectors(spark, d), _vector_queries(spark, d), 10)
-    return _rounded(hits, "query_id", "rank", "point_id")
+    return S.top_k_pairs(_vectors(spark, d), _vector_queries(spark, d), 10)
 
 
 def search_blocks(spark, d):
     """The same by the block join for more queries than are broadcast."""
-    hits = S.top_k_pairs(
+    return S.top_k_pairs(
         _vectors(spark, d), _vector_queries(spark, d), 10,
         broadcast_bytes=0, query_block=200, point_slice=250)
-    return _rounded(hits, "query_id", "rank", "point_id")
 
 
 def search_approx(spark, d):
-    hits = N.search_nearby(_vectors(spark, d), _vector_queries(spark, d), 64, 10)
-    return _rounded(hits, "query_id", "rank", "point_id")
+    return N.search_nearby(_vectors(spark, d), _vector_queries(spark, d), 64, 10)
 
 
 def search_recall(spark, d):
@@ -515,7 +507,7 @@ def answer_searches(spark, d):
     hits = answers.select("request_id", F.explode(F.from_json(
         "result", "array<struct<id:string,score:double>>")).alias("hit"))
     return hits.select("request_id", F.col("hit")["id"].alias("point_id"),
-                       F.round(F.col("hit")["score"], 6).alias("score"))
+                       F.col("hit")["score"].alias("score"))
 
 
 def render_json(spark, d):

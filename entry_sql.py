@@ -377,29 +377,29 @@ def oracle_sql() -> dict[str, str]:
         "search_vector": f"""WITH {VECTORS}, scored AS (
               SELECT point_id, {_cosine('v', probe)} AS score FROM vectors)
             SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id,
-              round(score, 6) AS score FROM scored ORDER BY scored.score DESC, point_id LIMIT 10""",
+              score FROM scored ORDER BY scored.score DESC, point_id LIMIT 10""",
         "search_text": f"""WITH {TEXT_VECTORS},
             asked AS (SELECT 0 AS id, {_lit(QUERY)} AS text), {_bag('asked_bag', 'asked', 'id')},
             {_dense('asked_vector', 'asked_bag', 'asked', 'id')},
             scored AS (SELECT point_id, {_cosine('d.v', 'a.v')} AS score
               FROM doc_vectors d, asked_vector a)
             SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id, text,
-              round(score, 6) AS score FROM scored JOIN text_points USING (point_id)
+              score FROM scored JOIN text_points USING (point_id)
             ORDER BY scored.score DESC, point_id LIMIT 10""",
         "search_batch": f"""WITH {BATCH}
-            SELECT item_id AS query_id, rank, point_id, text, round(score, 6) AS score
+            SELECT item_id AS query_id, rank, point_id, text, score
             FROM ranked JOIN text_points USING (point_id) WHERE rank <= 10""",
         "answer_searches": f"""WITH {BATCH}
-            SELECT 'benchmark-1-' || item_id AS request_id, point_id, round(score, 6) AS score
+            SELECT 'benchmark-1-' || item_id AS request_id, point_id, score
             FROM ranked WHERE rank <= item_id
-            UNION ALL SELECT 'benchmark-2-' || item_id, point_id, round(score, 6)
+            UNION ALL SELECT 'benchmark-2-' || item_id, point_id, score
             FROM ranked WHERE rank <= 10""",
         "search_all_vectors": f"""WITH {VECTORS}, {_ranked(10)}
-            SELECT query_id, rank, point_id, round(score, 6) AS score FROM hits""",
+            SELECT query_id, rank, point_id, score FROM hits""",
         "search_blocks": f"""WITH {VECTORS}, {_ranked(10)}
-            SELECT query_id, rank, point_id, round(score, 6) AS score FROM hits""",
+            SELECT query_id, rank, point_id, score FROM hits""",
         "search_approx": f"""WITH {VECTORS}, {_SIGNS}, {_ranked(10, _NEAR)}
-            SELECT query_id, rank, point_id, round(score, 6) AS score FROM hits""",
+            SELECT query_id, rank, point_id, score FROM hits""",
         "search_recall": f"""WITH {VECTORS}, {_SIGNS}, {_named_hits('exact', 10)},
             {_named_hits('near', 10, _NEAR)}
             SELECT count(*) AS exact_hits, count(n.point_id) AS found_hits,

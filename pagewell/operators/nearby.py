@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewell.operators.collections import DEFAULT_LIMIT
-from pagewell.operators.search import top_k_pairs
+from pagewell.operators.search import find_top_k
 
 PLANES = 6
 RADIUS = 2
 
+# With up to so many planes, the cells looked at (2 ** 12 at most) become a filter.
+PRUNED_PLANES = 12
+
 
 def planes(count: int, dimension: int) -> np.ndarray:
     """Plane p at position i: +1 when md5('p:i') starts with a digit below 8, else -1."""
@@ -68,11 +71,14 @@ def search_nearby(
     """
     placed = points if "cell" in points.columns else add_cells(points, dimension, count)
     own = queries.select(
-        "query_id", "query_vector", cell_of(F.col("query_vector"), dimension, count).alias("own"))
+        "query_id", "query_vector", cell_of(F.col("query_vector"), dimension, count).alias("_own"))
     looking = own.select(
-        "query_id", "query_vector",
-        F.explode(probed_cells(F.col("own"), count, radius)).alias("cell"))
-    return top_k_pairs(placed, looking, k, ["cell"])
+        "query_id", "query_vector", probed_cells(F.col("_own"), count, radius).alias("_cells"))
+    if "cell" in points.columns and count <= PRUNED_PLANES:
+        # Where points are stored by cell, the other cells are not read.
+        wanted = looking.select(F.explode("_cells").alias("cell")).distinct().collect()
+        placed = placed.where(F.col("cell").isin(*(row["cell"] for row in wanted)))
+    return find_top_k(placed, looking, k, cells=F.col("_cells")).hits
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -29,8 +29,9 @@ SCORE_DIGITS = 9
 # of the k-th best are scored exactly.
 SLACK = 1e-8
 
-# Bytes of query vectors that are broadcast to all tasks.
-BROADCAST_BYTES = 64 << 20
+# Queries, and bytes of them, that are broadcast to all tasks.
+BROADCAST_QUERIES = 16_384
+BROADCAST_BYTES = 128 << 20
 
 # Beyond that: queries and points of one group of the block join.
 QUERY_BLOCK = 8_192
@@ -73,19 +74,22 @@ def search_vector(
 
 @dataclass
 class Queries:
-    """A block of queries: ids, unit vectors, the cell each looks at, hits wanted."""
+    """A block of queries: ids, unit vectors, hits wanted, and the cells each looks at."""
 
     ids: pa.Array
     units: np.ndarray
-    cells: np.ndarray
     limits: np.ndarray
+    looking: pd.DataFrame
 
     @classmethod
     def read(cls, table: pa.Table) -> "Queries":
-        return cls(
-            _chunk(table["query_id"]), _unit_rows(_chunk(table["query_vector"])),
-            table["cell"].to_numpy(zero_copy_only=False),
-            table["limit"].to_numpy(zero_copy_only=False))
+        cells = _chunk(table["cells"])
+        limits = table["limit"].to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(cells)), np.diff(cells.offsets.to_numpy()))
+        looking = pd.DataFrame({
+            "cell": cells.flatten().to_numpy(), "limit": limits[row], "row": row})
+        return cls(_chunk(table["query_id"]), _unit_rows(_chunk(table["query_vector"])),
+                   limits, looking)
 
 
 def _chunk(column) -> pa.Array:
@@ -118,13 +122,12 @@ class TopK:
         self.found = [pd.DataFrame({
             "query": np.empty(0, np.int64), "score": np.empty(0), "point_id": []})]
         self.waiting = 0
-        self.floor = np.full(len(queries.cells), -np.inf)
-        # Queries of one cell that want equally many hits are scored together.
+        self.floor = np.full(len(queries.limits), -np.inf)
+        # Queries at one cell that want equally many hits are scored together.
         self.members: dict = {}
-        groups = pd.DataFrame({"cell": queries.cells, "limit": queries.limits})
-        for (cell, limit), at in groups.groupby(["cell", "limit"]).indices.items():
+        for (cell, limit), group in queries.looking.groupby(["cell", "limit"])["row"]:
             if limit > 0:
-                self.members.setdefault(cell, []).append((int(limit), np.sort(at)))
+                self.members.setdefault(cell, []).append((int(limit), group.to_numpy()))
 
     def add(self, ids: pa.Array, vectors: pa.Array, cells: np.ndarray) -> None:
         if len(ids) == 0 or not self.members:
@@ -194,60 +197,58 @@ def _rank(hits: DataFrame, k: int | None) -> DataFrame:
         F.col("rank") <= wanted).select("query_id", "rank", "point_id", "score")
 
 
-def _cells(rows: DataFrame, match: Sequence[str]) -> Column:
+def _cells(match: Sequence[str]) -> Column:
     """A number that is equal where all `match` columns are equal."""
     return F.xxhash64(*match) if match else F.lit(0).cast("long")
 
 
-def top_k_pairs(
-    points: DataFrame, queries: DataFrame, k: int | None = DEFAULT_LIMIT,
-    match: Sequence[str] = (),
-    broadcast_bytes: int = BROADCAST_BYTES, query_block: int = QUERY_BLOCK,
-    point_slice: int = POINT_SLICE,
-) -> DataFrame:
-    """`query_id, rank, point_id, score` of the k best points of every query, exactly.
+@dataclass
+class Found:
+    """Hits, and for queries that were broadcast: how many at most, and the queries."""
 
-    With `k=None` every query brings a `limit` of its own.
+    hits: DataFrame
+    most: int | None = None
+    asked: pa.Table | None = None
 
-    `points` has `point_id, vector`, `queries` has distinct `query_id` and
-    `query_vector`. A query only sees points with equal `match` columns; a query may
-    have several rows, one per cell it looks at. Queries up to `broadcast_bytes` go
-    to every task of one scan of the points. More queries than that are joined block
-    by block: every group holds one block of queries and one slice of the points.
-    """
-    id_type = queries.schema["query_id"].dataType
+
+def find_top_k(
+    points: DataFrame, queries: DataFrame, k: int | None = DEFAULT_LIMIT,
+    match: Sequence[str] = (), cells: Column | None = None,
+    broadcast_queries: int = BROADCAST_QUERIES, broadcast_bytes: int = BROADCAST_BYTES,
+    query_block: int = QUERY_BLOCK, point_slice: int = POINT_SLICE,
+) -> Found:
+    """See `top_k_pairs`; `cells` are the cells a query looks at, for points with `cell`."""
     hits_type = T.StructType([
-        T.StructField("query_id", id_type),
+        T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField("limit", T.LongType()),
         T.StructField("point_id", points.schema["point_id"].dataType),
         T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(hits_type)
     limit = (F.col("limit") if k is None else F.lit(k)).cast("long").alias("limit")
+    looking = F.array(_cells(match)) if cells is None else cells
     wanted = queries.select(
-        "query_id", "query_vector", _cells(queries, match).alias("cell"), limit)
-    scanned = points.select("point_id", "vector", _cells(points, match).alias("cell"))
+        "query_id", "query_vector", looking.alias("cells"), limit, *match)
+    scanned = points.select(
+        "point_id", "vector",
+        (_cells(match) if cells is None else F.col("cell").cast("long")).alias("cell"))
 
-    asked = wanted.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("query_vector")).alias("size")).first()
-    if asked["n"] * (8 * (asked["size"] or 0) + 64) <= broadcast_bytes:
-        local = wanted.toArrow()
-        shared = points.sparkSession.sparkContext.broadcast(
-            _ipc(local)) if asked["n"] else None
+    local = wanted.limit(broadcast_queries + 1).toArrow()
+    if local.num_rows <= broadcast_queries and local.nbytes <= broadcast_bytes:
+        shared = points.sparkSession.sparkContext.broadcast(_ipc(local.drop_columns([*match])))
 
         def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if shared is None:
-                return
             top = TopK(Queries.read(_from_ipc(shared.value)))
             for batch in batches:
                 _add_batch(top, batch)
             yield top.batch(schema)
 
-        return _rank(scanned.mapInArrow(scan, hits_type), k)
+        most = int(np.maximum(local["limit"].to_numpy(zero_copy_only=False), 0).sum())
+        return Found(_rank(scanned.mapInArrow(scan, hits_type), k), most, local)
 
-    blocks = math.ceil(asked["n"] / query_block)
+    blocks = max(1, math.ceil(wanted.count() / query_block))
     slices = max(1, math.ceil(points.count() / point_slice))
-    left = wanted.withColumn(
-        "_block", F.pmod(F.xxhash64("query_id", "cell"), F.lit(blocks))
+    left = wanted.drop(*match).withColumn(
+        "_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     ).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     right = scanned.withColumn(
         "_slice", F.pmod(F.xxhash64("point_id"), F.lit(slices)).cast("int")
@@ -263,7 +264,22 @@ def top_k_pairs(
         return pa.Table.from_batches([top.batch(schema)])
 
     grouped = left.groupBy("_block", "_slice").cogroup(right.groupBy("_block", "_slice"))
-    return _rank(grouped.applyInArrow(meet, hits_type), k)
+    return Found(_rank(grouped.applyInArrow(meet, hits_type), k))
+
+
+def top_k_pairs(
+    points: DataFrame, queries: DataFrame, k: int | None = DEFAULT_LIMIT,
+    match: Sequence[str] = (), **options,
+) -> DataFrame:
+    """`query_id, rank, point_id, score` of the k best points of every query, exactly.
+
+    `points` has `point_id, vector`, `queries` has distinct `query_id` and
+    `query_vector`, and a `limit` of its own for each query when `k` is None. A query
+    only sees points with equal `match` columns. Up to `broadcast_queries` queries go
+    to every task of one scan of the points. More queries than that are joined block
+    by block: every group holds one block of queries and one slice of the points.
+    """
+    return find_top_k(points, queries, k, match, **options).hits
 
 
 def _ipc(table: pa.Table) -> bytes:
@@ -303,14 +319,17 @@ def search_batch(
     embedder: Embedder | None = None, match: Sequence[str] = (), payload: bool = True,
 ) -> DataFrame:
     """k hits for every query text of `query_id, query`, or as many as its `limit` says."""
-    hits = top_k_pairs(points, embed_queries(queries, embedder), k, match)
+    found = find_top_k(points, embed_queries(queries, embedder), k, match)
+    hits = found.hits
     if not payload:
         return hits
-    most = queries.count() * k if k is not None else queries.agg(F.sum("limit")).first()[0] or 0
     kept = [m for m in match if m != "point_id"]
     if kept:
-        hits = hits.join(queries.select("query_id", *kept), "query_id")
-    return with_payload(hits, points, most, kept)
+        columns = ["query_id", *kept]
+        asked = queries.select(columns) if found.asked is None else (
+            queries.sparkSession.createDataFrame(found.asked.select(columns)))
+        hits = hits.join(asked, "query_id")
+    return with_payload(hits, points, found.most, kept)
 
 
 def search_text(

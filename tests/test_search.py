@@ -59,7 +59,7 @@ def test_block_join_like_brute_force(sets):
 def test_small_chunks_give_the_same(sets, monkeypatch):
     points, queries, frame, asked = sets
     top = S.TopK(S.Queries.read(
-        asked.withColumn("cell", F.lit(0)).withColumn("limit", F.lit(5)).toArrow()))
+        asked.withColumn("cells", F.array(F.lit(0))).withColumn("limit", F.lit(5)).toArrow()))
     monkeypatch.setattr(S, "PAIR_CHUNK", 64)
     monkeypatch.setattr(S, "SCORES_HELD", 100)
     for batch in frame.withColumn("cell", F.lit(0)).toArrow().to_batches(37):
@@ -122,6 +122,18 @@ def test_nearby_with_full_radius_is_exact(sets):
     assert N.recall(exact, exact).first().recall == 1.0
 
 
+def test_points_stored_by_cell_are_read_by_cell(sets, spark, tmp_path):
+    points, queries, frame, asked = sets
+    path = str(tmp_path / "cells")
+    N.add_cells(frame, 4, 3).write.partitionBy("cell").parquet(path)
+    stored = spark.read.parquet(path)
+    hits = N.search_nearby(stored, asked.where("query_id < 2"), 4, 7, count=3, radius=1)
+    fresh = N.search_nearby(frame, asked.where("query_id < 2"), 4, 7, count=3, radius=1)
+    assert got(hits) == got(fresh)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cell" in plan or "PartitionFilters: [isnotnull(cell" in plan
+
+
 def test_words_are_letters_and_digits(rows):
     """Of a text with one character of every kind between marks."""
     import pyarrow as pa
