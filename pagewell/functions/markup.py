@@ -65,7 +65,7 @@ GAP = "<!---->"
 MARK = "\x01"
 
 # A truncated `&amp` counts as `&amp;` unless a longer name follows.
-BARE_AMP = "&amp([^-.;A-Za-z0-9]|$)"
+BARE_AMP = "&amp(?=[^-.;A-Za-z0-9]|$)"
 
 ATTRIBUTE = r"""([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)"""
 
@@ -124,7 +124,7 @@ def decode(text: Column) -> Column:
     pairs = F.array(*(
         F.struct(F.lit(e).alias("entity"), F.lit(c).alias("char")) for e, c in ENTITIES))
     return F.aggregate(
-        pairs, F.regexp_replace(text, BARE_AMP, "&amp;$1"),
+        pairs, F.regexp_replace(text, BARE_AMP, "&amp;"),
         lambda out, pair: F.replace(out, pair["entity"], pair["char"]))
 
 
@@ -163,16 +163,19 @@ def page_title(stripped: Column) -> Column:
         text_nodes(raw_heading(stripped), ""))
 
 
-def main_region(stripped: Column) -> Column:
-    """Markup inside the first main, else article, else body, else the page."""
+def main_region(stripped: Column, bare: Column | None = None) -> Column:
+    """Markup inside the first main, else article, else body, else the page.
+
+    Tags that are not among the `bare` tags need not be looked for.
+    """
     region = stripped
     for name in reversed(REGIONS):
         close = r"(?:</body\s*>|\z)" if name == "body" else f"</{name}\\s*>"
         pattern = f"(?i)<{name}(?:[\\s/][^>]*)?>({inside(name)}){close}"
-        region = F.when(
-            F.regexp_like(stripped, F.lit(f"(?i)<{name}[\\s/>]")),
-            F.regexp_extract(stripped, pattern, 1),
-        ).otherwise(region)
+        there = F.regexp_like(stripped, F.lit(f"(?i)<{name}[\\s/>]"))
+        if bare is not None:
+            there = F.contains(bare, F.lit(f"<{name}>")) & there
+        region = F.when(there, F.regexp_extract(stripped, pattern, 1)).otherwise(region)
     return region
 
 

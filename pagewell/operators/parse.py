@@ -60,7 +60,8 @@ def parse_pages(
             *kept, "_plain", F.when(~plain, content).alias("_hard"),
             markup.raw_title(F.col("_html")).alias("_title"),
             markup.mark_tags(markup.raw_heading(F.col("_html"))).alias("_heading"),
-            markup.mark_tags(markup.main_region(F.col("_html"))).alias("_text"),
+            markup.mark_tags(
+                markup.main_region(F.col("_html"), F.col("_bare"))).alias("_text"),
             markup.meta_tags(F.col("_html")).alias("_tags")))
     native = (
         cut.select(*kept, "_plain", "_hard", "_tags", *(decoded(n) for n in marks))

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewell.operators.joins import join_unique
@@ -45,16 +45,29 @@ def missing_content(sources: DataFrame, pages: DataFrame) -> DataFrame:
         "reason", F.lit("not_fetched"))
 
 
-def read_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Whole text files as `source, content`; the source is the path."""
+def _file_source(base: str | None) -> Column:
+    """The path of a file as one would write it: local ones without scheme; with `base`,
+    what follows it."""
+    path = F.col("_metadata.file_path")
+    decoded = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    plain = F.regexp_replace(decoded, "^file:(?://)?(?=/)", "")
+    return F.substring_index(plain, base, -1) if base else plain
+
+
+def read_files(
+    spark: SparkSession, paths: str | Sequence[str], base: str | None = None,
+) -> DataFrame:
+    """Whole text files as `source, content`; the source is the path (after `base`)."""
     return spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("source"), F.col("value").alias("content"))
+        _file_source(base).alias("source"), F.col("value").alias("content"))
 
 
-def read_binary_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def read_binary_files(
+    spark: SparkSession, paths: str | Sequence[str], base: str | None = None,
+) -> DataFrame:
     """Whole binary files as `source, content`, for parsers of binary formats."""
     return spark.read.format("binaryFile").load(paths).select(
-        F.col("path").alias("source"), "content")
+        _file_source(base).alias("source"), "content")
 
 
 def spread(rows: DataFrame, tasks: int | None = None) -> DataFrame:

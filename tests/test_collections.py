@@ -224,6 +224,20 @@ def test_custom_parser_of_many_documents(rows, store):
     assert {r.payload.content for r in store.points("documents").collect()} == {"z", "text 1"}
 
 
+def test_row_parser_in_the_job(rows, store):
+    from pagewell.functions.lines import line_documents
+    from pagewell.plans import registry
+    registry.register_row_parser("txt", line_documents)
+    try:
+        sources = rows("ordinal long, source string", (0, "a.txt"), (1, "a.txt"), (2, "b.html"))
+        pages = rows("source string, content string", ("a.txt", "one\n\ntwo"), ("b.html", html(3)))
+        assert ingest(store, sources, pages, timestamp="T") == 5
+    finally:
+        registry.PARSERS.pop("txt")
+    assert {r.payload.content: r.payload.source_type for r in store.points("documents").collect()} == {
+        "two": "txt", "text 3": "html"}
+
+
 def test_stream_replay_changes_nothing(rows, spark, store, tmp_path):
     drop = str(tmp_path / "in")
     pages_of(rows, "https://e.com/0", "https://e.com/1").coalesce(1).write.parquet(drop)

@@ -78,6 +78,7 @@ CASES = [
     ("<textarea><b>x</b></textarea>", "", "x"),
     ("<script>if (a < b) x()</script>y", "", "y"),
     ("a\x01b", "", "a\x01b"),
+    ("<p>&amp&amp</p>", "", "&&"),
 ]
 
 

@@ -114,11 +114,24 @@ def test_latest_content(rows):
 
 
 def test_files(spark, tmp_path):
-    (tmp_path / "a.html").write_text("<p>one</p>\n<p>two</p>\n")
-    got = read_files(spark, str(tmp_path)).collect()
-    assert [r.content for r in got] == ["<p>one</p>\n<p>two</p>\n"]
-    assert got[0].source.endswith("/a.html")
-    assert read_binary_files(spark, str(tmp_path)).first().content == b"<p>one</p>\n<p>two</p>\n"
+    (tmp_path / "a b+c%.html").write_text("<p>one</p>\n<p>two</p>\n")
+    got, = read_files(spark, str(tmp_path)).collect()
+    assert got.content == "<p>one</p>\n<p>two</p>\n"
+    assert got.source == str(tmp_path / "a b+c%.html")
+    got, = read_binary_files(spark, str(tmp_path), str(tmp_path) + "/").collect()
+    assert (got.source, got.content) == ("a b+c%.html", b"<p>one</p>\n<p>two</p>\n")
+
+
+def test_listed_files_are_read(spark, tmp_path):
+    (tmp_path / "input").mkdir()
+    (tmp_path / "input" / "doc.html").write_text("<title>D</title><p>x")
+    pages = read_files(spark, str(tmp_path / "input"), str(tmp_path) + "/")
+    documents, rejects = parse_sources(
+        source_list(spark, ["input/doc.html", "input/none.html"]), pages, timestamp="T")
+    document, = documents.collect()
+    assert (document.title, document.content) == ("D", "D\nx")
+    assert document.metadata == {"domain": "", "path": "input/doc.html"}
+    assert [r.source for r in rejects.collect()] == ["input/none.html"]
 
 
 def test_report(rows):
