@@ -1,13 +1,15 @@
 """Collections in a folder of parquet files.
 
-`points/collection=…/batch_id=…/` holds the points of each write, `catalog/` one row
-per creation, write, compaction and deletion. A write becomes visible with its
+`points/<md5 of the name>/batch_id=…/` holds the points of each write, `catalog/` one
+row per creation, write, compaction and deletion. A write becomes visible with its
 catalog row, so a job that dies half-way leaves nothing visible behind, and its
-repetition replaces what it left. One writer at a time.
+repetition replaces what it left. Reading lists the files of the visible writes of one
+collection and no others. One writer at a time.
 """
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from hashlib import md5
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -42,15 +44,15 @@ class CollectionStore:
 
     # -- reading -------------------------------------------------------------
 
-    def _read(self, path: str, schema) -> DataFrame:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+    def catalog(self) -> DataFrame:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.catalog_path)
         files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if files.exists(folder):
-            return self.spark.read.schema(schema).parquet(path)
-        return self.spark.createDataFrame([], schema)
+            return self.spark.read.schema(schemas.CATALOG).parquet(self.catalog_path)
+        return self.spark.createDataFrame([], schemas.CATALOG)
 
-    def catalog(self) -> DataFrame:
-        return self._read(self.catalog_path, schemas.CATALOG)
+    def _folder(self, name: str) -> str:
+        return f"{self.points_path}/{md5(name.encode()).hexdigest()}"
 
     def _state(self, name: str) -> _State | None:
         """The catalog rows of one name; there is one per write since compaction."""
@@ -80,9 +82,11 @@ class CollectionStore:
     def points(self, name: str) -> DataFrame:
         """Live points of a collection. After compaction this is a plain scan."""
         batches = self._existing(name).batches
-        log = self._read(self.points_path, schemas.POINT_LOG).where(
-            (F.col("collection") == name) & F.col("batch_id").isin(*batches)
-            if batches else F.lit(False))
+        if not batches:
+            return self.spark.createDataFrame([], schemas.POINT_LOG)
+        folder = self._folder(name)
+        log = self.spark.read.schema(schemas.POINT_LOG).option("basePath", folder).parquet(
+            *(f"{folder}/batch_id={batch}" for batch in batches))
         # The points of one batch are distinct.
         return log if len(batches) < 2 else newest(log, ["point_id"], ["batch_id"])
 
@@ -156,12 +160,9 @@ class CollectionStore:
 
     def _write(self, name: str, batch_id: int, points: DataFrame) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.POINT.fields]
-        (points.select(
-            *columns, F.lit(name).alias("collection"),
-            F.lit(batch_id).cast("long").alias("batch_id"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (points.select(*columns).write.mode("overwrite")
          .option("parquet.bloom.filter.enabled#point_id", "true")
-         .partitionBy("collection", "batch_id").parquet(self.points_path))
+         .parquet(f"{self._folder(name)}/batch_id={batch_id}"))
 
     def upsert(
         self, name: str, points: DataFrame, distinct: bool = False, origin: str | None = None,
@@ -216,7 +217,7 @@ class CollectionStore:
         if len(state.batches) < 2:
             return
         batch_id = self._next_batch()
-        live = self.points(name).drop("collection", "batch_id")
+        live = self.points(name).drop("batch_id")
         width = self.spark.conf.get("spark.sql.shuffle.partitions")
         self._write(name, batch_id, live.repartitionByRange(int(width), "point_id")
                     .sortWithinPartitions("point_id"))

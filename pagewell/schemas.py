@@ -48,11 +48,8 @@ POINT = T.StructType([
     T.StructField("copies", T.LongType()),
 ])
 
-POINT_LOG = T.StructType([
-    *POINT.fields,
-    T.StructField("collection", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-])
+# Points as they are stored, one folder per collection and batch.
+POINT_LOG = T.StructType([*POINT.fields, T.StructField("batch_id", T.LongType())])
 
 # Append-only history of the collections.
 CATALOG = T.StructType([
