@@ -7,6 +7,7 @@ of every batch. What is live follows from both; nothing is ever changed in place
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewell.operators.joins import SALTS
 from pagewell.operators.ordering import number_by_id
 
 COSINE = "cosine"
@@ -84,16 +85,21 @@ def live_points(log: DataFrame, catalog: DataFrame) -> DataFrame:
     """Newest row of every point written since its collection was last deleted.
 
     A point whose newest row is older than the deletion has no live row at all, so
-    the deletions are looked up for the winners only, which carry no payload.
+    the deletions are looked up for the winners only, which carry no payload. The few
+    names are copied to SALTS groups, as one collection may hold most of the points.
     """
     order = ["batch_id", "ordinal", "part"]
-    live = _since_deletion(catalog).select(F.col("name").alias("collection"), "dropped")
+    live = _since_deletion(catalog).select(
+        F.col("name").alias("collection"), "dropped",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"))
     last = log.groupBy("collection", "point_id").agg(
-        F.max(F.struct(*order)).alias("_last"))
-    winners = last.join(live, "collection").where(F.col("_last")["batch_id"] > F.col("dropped"))
+        F.max(F.struct(*order)).alias("_last")
+    ).withColumn("_salt", F.pmod(F.xxhash64("point_id"), F.lit(SALTS)))
+    winners = last.join(live, ["collection", "_salt"]).where(
+        F.col("_last")["batch_id"] > F.col("dropped"))
     keys = winners.select(
         "collection", "point_id", *(F.col("_last")[o].alias(o) for o in order))
-    return log.join(keys, ["collection", "point_id", *order], "left_semi")
+    return log.join(keys, ["collection", "point_id", *order])
 
 
 def stored_count(points: DataFrame, *keys: str) -> DataFrame:

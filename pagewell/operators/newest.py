@@ -21,10 +21,11 @@ def newest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     """Per key the row that is last in `order`; the order must be distinct per key.
 
     The winners are found on keys and order columns alone, with partial aggregation
-    before the shuffle, and the rows are picked by a semi-join on keys and order. A
-    key with many rows is therefore spread over all tasks by its order values.
+    before the shuffle, and the rows are picked by a join on keys and order. A key with
+    many rows is therefore spread over all tasks by its order values. (A semi-join would
+    be pushed below unions and find the winners once per branch.)
     """
-    return rows.join(_winners(rows, keys, order), [*keys, *order], "left_semi")
+    return rows.join(_winners(rows, keys, order), [*keys, *order])
 
 
 def newest_with_copies(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
