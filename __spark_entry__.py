@@ -572,8 +572,23 @@ def entry(spark: SparkSession) -> DataFrame:
         "query_id", "rank", "point_id", "score", F.col("payload")["title"].alias("title"))
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data subpackage and its pipeline, where they are there."""
+    try:
+        import corpus_pipeline
+        from pagewell.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "pagewell.llm", "pagewell.llm.registry"):
+            raise
+        return {}, {}
+    found = {**registry.QUERIES, "pipeline": corpus_pipeline.run}
+    sql = {**registry.SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return found, {name: text for name, text in sql.items() if text}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        **_training_data()[0],
         "source_list": source_list,
         "detect_source_type": detect_source_type,
         "route_sources": route,
@@ -626,4 +641,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return entry_sql.oracle_sql()
+    return {**_training_data()[1], **entry_sql.oracle_sql()}
