@@ -23,7 +23,7 @@ CHUNK_CHARS, KNOWN_PARTS = 2_000_000, 600_000
 LINE = 400
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
 _OTHER_BLANK = re.compile(r"[^\S \n]")
-_AFTER_SIGN = re.compile(r"(?:[^\w\s]|_)[.,](?:[ \n]|\Z)")
+_AFTER_SIGN = re.compile(r"(?:\W|_|\A)[.,](?:[ \n]|\Z)")
 _FIRST, _GLUED = "\n\n", "\n\x00"  # a part without a blank before it; no part begins so by itself
 
 
