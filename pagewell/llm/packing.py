@@ -125,7 +125,7 @@ def _pack(path: str, size: int, end_id: int | None):
 
         for batch in batches:
             keys = iter(batch.column(0).to_pylist())
-            for ids, sizes in encoder(path).encode(batch.column(1).to_pylist()):
+            for ids, sizes in encoder(path).encode(batch.column(1)):
                 begin = 0
                 for n in sizes.tolist():
                     one = ids[begin:begin + n]

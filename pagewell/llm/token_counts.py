@@ -21,7 +21,7 @@ LIMIT = 1024
 def _encode(path: str):
     def run(batches):
         for batch in batches:
-            sizes = [n for _, part in encoder(path).encode(batch.column(1).to_pylist()) for n in part.tolist()]
+            sizes = [n for _, part in encoder(path).encode(batch.column(1)) for n in part.tolist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())],
                                              names=["digest", "n_tokens"])
     return run

@@ -65,7 +65,7 @@ def _write(folder: str, path: str, end_id: int | None):
         for batch in batches:
             keys = batch.column(0).to_pylist()
             at = 0
-            for ids, sizes in encoder(path).encode(batch.column(1).to_pylist()):
+            for ids, sizes in encoder(path).encode(batch.column(1)):
                 if end_id is not None:  # one more id after each document
                     ids = np.insert(ids, np.cumsum(sizes), end_id)
                     sizes = sizes + 1

@@ -18,7 +18,9 @@ from itertools import chain
 import numpy as np
 
 #: Characters of texts that are encoded together; parts remembered between chunks.
-CHUNK_CHARS, KNOWN_PARTS = 2_000_000, 600_000
+CHUNK_CHARS, KNOWN_PARTS = 1_000_000, 250_000
+#: Rows of a column that become Python strings together.
+ROWS = 256
 #: New parts are given to the library in lines of so many.
 LINE = 400
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
@@ -146,10 +148,15 @@ class Encoder:
         upto = np.r_[0, ends][np.cumsum(counts)]
         return self.flat[at], np.diff(np.r_[0, upto])
 
-    def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Flat ids and the number of ids per text, for some texts at a time; null is empty."""
+    def encode(self, texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Flat ids and the number of ids per text, for some texts at a time; null is empty.
+
+        texts: a list or an Arrow column, of which few are Python strings at a time.
+        """
+        slices = ([texts] if isinstance(texts, list) else
+                  (texts.slice(k, ROWS).to_pylist() for k in range(0, len(texts), ROWS)))
         chunk, chars = [], 0
-        for text in texts:
+        for text in chain.from_iterable(slices):
             chunk.append(text or "")
             chars += len(chunk[-1])
             if chars >= CHUNK_CHARS:
