@@ -24,7 +24,7 @@ from pagewell.operators import search as S
 from pagewell.plans import answers as A
 from pagewell.operators.embed import check_vectors, embed_text, vector_size
 from pagewell.operators.parse import parse_pages, parse_rows
-from pagewell.plans.ingest import ingest_points, parse_sources
+from pagewell.plans.ingest import ingest_points
 from pagewell.plans.store import CollectionStore
 from pagewell.sources.content import load_content, spread
 from pagewell.sources.listing import (
@@ -34,16 +34,9 @@ from pagewell.streaming.ingest import ingest_stream, stream_pages
 TIMESTAMP = "2025-01-01T00:00:00Z"
 
 
-_tables: dict[tuple, DataFrame] = {}
-
-
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A table, whose files are listed and whose schema is read once per application."""
     ship(spark)
-    key = (spark.sparkContext.applicationId, id(spark), d, name)
-    if key not in _tables:
-        _tables[key] = spark.read.parquet(f"{d}/{name}.parquet")
-    return _tables[key]
+    return spark.read.parquet(f"{d}/{name}.parquet")
 
 
 # -- inputs ------------------------------------------------------------------
@@ -260,8 +253,9 @@ def load(spark, d):
 
 
 def report(spark, d):
+    """Outcomes of the job's sources, many of which are listed repeatedly and fail."""
     sources = _mixed_sources(spark, d)
-    _, rejects = parse_sources(sources, _pages(spark, d), timestamp=TIMESTAMP)
+    _, rejects = ingest_points(sources, _pages(spark, d), timestamp=TIMESTAMP)
     return ingest_report(sources, rejects)
 
 
@@ -555,10 +549,12 @@ def ingest_streamed(spark, d):
 
 
 def _scratch(spark) -> str:
-    """A new folder under the shared one, or a temporary one where none is set."""
+    """A new folder under the shared one; a local session may use a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/pagewell-{os.urandom(8).hex()}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="pagewell-")
 
 

@@ -4,6 +4,7 @@ The walk keeps the open elements on a stack: an end tag closes everything above
 its own start tag and is ignored when there is none, void elements close at once.
 """
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html.entities import html5
 from html.parser import HTMLParser
@@ -35,6 +36,7 @@ class PageWalker(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.excluded = frozenset(excluded)
         self.open: list[str] = []
+        self.open_names = Counter()
         self.hidden_at: int | None = None
         self.silent = 0
         self.buffer: list[str] = []
@@ -118,6 +120,7 @@ class PageWalker(HTMLParser):
         self._element(tag, attrs)
         depth = len(self.open)
         self.open.append(tag)
+        self.open_names[tag] += 1
         if tag in SILENT:
             self.silent += 1
         if self.hidden_at is not None:
@@ -132,10 +135,11 @@ class PageWalker(HTMLParser):
             self.span_depth[tag] = depth
 
     def _pop_to(self, tag):
-        if tag not in self.open:
+        if not self.open_names[tag]:
             return
         while True:
             top = self.open.pop()
+            self.open_names[top] -= 1
             depth = len(self.open)
             if top in SILENT:
                 self.silent -= 1

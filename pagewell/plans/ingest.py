@@ -56,6 +56,12 @@ def distinct_sources(sources: DataFrame) -> DataFrame:
         F.max("ordinal").alias("ordinal"), F.count(F.lit(1)).alias("copies"))
 
 
+def every_copy(rejects: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rejects of distinct sources, once for each time that a source was listed."""
+    return rejects.drop("ordinal").join(sources.select("ordinal", "source"), "source").select(
+        *rejects.columns)
+
+
 def ingest_points(
     sources: DataFrame, pages: DataFrame | None = None, source_type: str | None = None,
     timestamp: datetime | str | None = None, embedder: Embedder | None = None,
@@ -80,6 +86,8 @@ def ingest_points(
         once = sources.withColumn("copies", F.lit(1).cast("long"))
     documents, rejects = parse_sources(
         once, pages, source_type, timestamp, parsers, distinct=True)
+    if pages is not None or gone is not None:
+        rejects = every_copy(rejects, sources if gone is None else there)
     if gone is not None:
         _, missing = parse_sources(gone, None, source_type, timestamp, parsers)
         rejects = rejects.unionByName(missing)
@@ -91,11 +99,16 @@ def ingest(
     store: CollectionStore, sources: DataFrame, pages: DataFrame | None = None,
     collection: str = DEFAULT_COLLECTION, source_type: str | None = None,
     timestamp: datetime | str | None = None, parsers: Mapping[str, Parser] | None = None,
-    origin: str | None = None,
+    origin: str | None = None, rejects_path: str | None = None,
 ) -> int:
-    """Parse, embed and store the sources; returns the number of documents sent."""
-    points, _ = ingest_points(
+    """Parse, embed and store the sources; returns the number of documents sent.
+
+    With `rejects_path` every source that gave no document is added to the table there.
+    """
+    points, rejects = ingest_points(
         sources, pages, source_type, timestamp, store.embedder, parsers)
+    if rejects_path:
+        rejects.withColumn("origin", F.lit(origin).cast("string")).write.mode("append").parquet(rejects_path)
     return store.upsert(collection, points, distinct=True, origin=origin)
 
 

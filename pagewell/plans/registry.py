@@ -33,7 +33,7 @@ def register_embedder(name: str, make: Callable[[], Embedder]) -> None:
 
 def _look_up(kind: str, table: dict, name: str):
     if name not in table:
-        raise ValueError(f"Unknown {kind}: '{name}'. Available: {sorted(table)}")
+        raise ValueError(f"No {kind} is registered as {name!r}, only {', '.join(sorted(table)) or 'none'}")
     return table[name]
 
 

@@ -7,6 +7,7 @@ repetition replaces what it left. Reading lists the files of the visible writes
 collection and no others. One writer at a time.
 """
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from hashlib import md5
@@ -22,10 +23,6 @@ from pagewell.operators.newest import newest, newest_with_copies
 from pagewell.operators.points import points_from_texts
 from pagewell.plans.registry import get_embedder
 
-# Fixed value: a longer list of ids is not pushed to the parquet readers as a whole.
-PUSHED_IDS = 10
-
-
 @dataclass
 class _State:
     """What the catalog says about one collection."""
@@ -35,11 +32,22 @@ class _State:
     batches: list[int]
 
 
+def _bad_vectors(marked: DataFrame) -> DataFrame:
+    """Points marked by `check_vectors`, in the shape of rejects."""
+    payload = dict(marked.dtypes)["payload"]
+    told = {c: F.col("payload")[c] if re.search(rf"[<,]{c}:", payload) else F.lit(None).cast("string")
+            for c in ("source", "source_type")}
+    return marked.where(F.col("reason").isNotNull()).select(
+        "ordinal", *(v.alias(c) for c, v in told.items()), "reason",
+        F.col("point_id").alias("detail"))
+
+
 class CollectionStore:
     def __init__(self, spark: SparkSession, path: str, embedder: Embedder | str = "hashed"):
         self.spark = spark
         self.points_path = f"{path}/points"
         self.catalog_path = f"{path}/catalog"
+        self.rejects_path = f"{path}/rejects"
         self.embedder = get_embedder(embedder) if isinstance(embedder, str) else embedder
 
     # -- reading -------------------------------------------------------------
@@ -109,15 +117,12 @@ class CollectionStore:
         return C.scroll_all(self.points(name), limit)
 
     def search_vector(self, name: str, query: Sequence[float], limit: int = C.DEFAULT_LIMIT):
-        """Hits with payload. Only ids and vectors are read to find them; the payloads
-        are then fetched by id, which skips files and row groups."""
+        """Hits with payload, by rank. Only ids and vectors are read to find them; the
+        payloads are then joined by id."""
         points = self.points(name)
         hits = S.search_vector(points.select("point_id", "vector"), query, limit)
-        if limit > PUSHED_IDS:
-            return hits.join(points.select("point_id", "payload"), "point_id")
-        ids = [r["point_id"] for r in hits.select("point_id").collect()]
-        found = points.where(F.col("point_id").isin(*ids) if ids else F.lit(False))
-        return S.search_vector(found.select("point_id", "vector", "payload"), query, limit)
+        return hits.join(points.select("point_id", "payload"), "point_id").select(
+            "point_id", "payload", "score", "rank").orderBy("rank")
 
     def search(self, name: str, query: str, limit: int = C.DEFAULT_LIMIT) -> DataFrame:
         probe = self.spark.range(1).select(F.lit(query).alias("query"))
@@ -171,7 +176,9 @@ class CollectionStore:
 
         `distinct` says that no id comes twice. A write with an `origin` that is
         already recorded for this collection has been done and is not repeated.
-        Nothing sent means that no collection is made.
+        Nothing sent means that no collection is made. Vectors that do not fit the
+        collection (a new one has the embedder's size) are not written; their points are
+        added to the table `rejects` of the store.
         """
         if not name:
             raise ValueError("A collection needs a name")
@@ -184,15 +191,23 @@ class CollectionStore:
             repeated = points.withColumnRenamed("copies", "_each")
             points = newest_with_copies(
                 repeated, ["point_id"], ["ordinal", "part"]).drop("_each")
+        state = self._state(name)
+        if state is None:
+            size = vector_size(self.spark, self.embedder).first()["vector_size"]
+            state = _State(size, C.COSINE, [])
         seen = Observation()
         batch_id = self._next_batch()
-        self._write(name, batch_id, points.observe(
-            seen, F.coalesce(F.sum("copies"), F.lit(0)).alias("sent"),
-            F.max(F.size("vector")).alias("size")))
+        marked = check_vectors(points, state.vector_size)
+        fits = F.col("reason").isNull()
+        self._write(name, batch_id, marked.observe(
+            seen, F.coalesce(F.sum(F.when(fits, F.col("copies"))), F.lit(0)).alias("sent"),
+            F.count(F.when(~fits, 1)).alias("bad")).where(fits).drop("reason"))
+        if seen.get["bad"]:
+            _bad_vectors(marked).withColumn("collection", F.lit(name)).withColumn(
+                "batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.rejects_path)
         sent = seen.get["sent"]
         if not sent:
             return 0
-        state = self._state(name) or _State(seen.get["size"], C.COSINE, [])
         self._record(name, batch_id, "upsert", state, sent=sent, origin=origin)
         return sent
 
@@ -204,12 +219,7 @@ class CollectionStore:
     def checked(self, name: str, points: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Points that fit the collection, and `bad_vector` rejects."""
         marked = check_vectors(points, self._existing(name).vector_size)
-        good = marked.where(F.col("reason").isNull()).drop("reason")
-        bad = marked.where(F.col("reason").isNotNull()).select(
-            "ordinal", F.col("payload")["source"].alias("source"),
-            F.col("payload")["source_type"].alias("source_type"), "reason",
-            F.col("point_id").alias("detail"))
-        return good, bad
+        return marked.where(F.col("reason").isNull()).drop("reason"), _bad_vectors(marked)
 
     def compact(self, name: str) -> None:
         """Rewrite the live points as one batch in id order; older batches are left unread."""

@@ -26,19 +26,22 @@ def stream_pages(
 def ingest_stream(
     store: CollectionStore, pages: DataFrame, name: str, checkpoint: str,
     collection: str = DEFAULT_COLLECTION, timestamp: datetime | str | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """Ingest all pages that have arrived (`ordinal, source, content`), then stop.
 
     Every micro-batch is one write, recorded under the stream's name and the number
     of the micro-batch. A replay of a recorded one does nothing; a replay of one that
-    failed half-way writes it anew.
+    failed half-way writes it anew. `rejects_path`: as in `ingest`; a replayed micro-batch
+    has its rejects there again, under the same origin.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         local = CollectionStore(batch.sparkSession, "", store.embedder)
         local.points_path, local.catalog_path = store.points_path, store.catalog_path
+        local.rejects_path = store.rejects_path
         ingest(local, batch, collection=collection, timestamp=timestamp,
-               origin=f"{name}/{number}")
+               origin=f"{name}/{number}", rejects_path=rejects_path)
 
     return (
         pages.withColumn("ordinal", F.col("ordinal").cast("long"))

@@ -329,3 +329,23 @@ def test_search_requests_of_several_collections(rows):
     got = {r.request_id: [h["payload"]["text"] for h in json.loads(r.result)]
            for r in answer_searches(points, requests).collect()}
     assert got == {1: ["red apple"], 2: ["red apple", "green"], 3: [], 5: []}
+
+
+def test_store_search_is_the_same_at_every_limit(spark, rows, tmp_path):
+    store = CollectionStore(spark, str(tmp_path / "store"))
+    store.add_documents("notes", rows("ordinal long, text string", *((k, f"bread number {k}") for k in range(30))))
+    hits = {n: store.search("notes", "bread number 7", limit=n) for n in (10, 11, 20)}
+    assert {tuple(h.columns) for h in hits.values()} == {("point_id", "payload", "score", "rank")}
+    found = {n: [r.point_id for r in h.collect()] for n, h in hits.items()}
+    assert found[20][:11] == found[11] and found[11][:10] == found[10]
+
+
+def test_bad_vectors_are_not_written(spark, rows, tmp_path):
+    from pagewell.operators.points import points_from_texts
+    store = CollectionStore(spark, str(tmp_path / "store"))
+    store.add_documents("notes", rows("ordinal long, text string", (0, "rye bread")))
+    points = points_from_texts(rows("ordinal long, text string", (1, "wheat"), (2, "oats")), store.embedder)
+    short = points.withColumn("vector", F.when(F.col("ordinal") == 1, F.slice("vector", 1, 2)).otherwise(F.col("vector")))
+    assert store.upsert("notes", short) == 1
+    assert store.count("notes") == 2 and store.search("notes", "wheat").count() == 2
+    assert [(r.ordinal, r.reason) for r in spark.read.parquet(store.rejects_path).collect()] == [(1, "bad_vector")]

@@ -8,48 +8,43 @@ from pagewell.functions.walker import walk
 from pagewell.operators.parse import parse_pages, parse_rows, utc_timestamp
 from pagewell.plans import registry
 
-SAMPLE = """<!DOCTYPE html>
-<html><head>
-<title>Test Page Title</title>
-<meta name="description" content="A test page description">
-<meta content='test, page' name='keywords'>
-<meta property="og:title" content="OG Title">
-<style>p { color: red }</style>
-</head><body>
-<nav>Navigation links</nav>
-<header><h1>Site header</h1></header>
-<main><h1>Main Heading</h1><p>First <b>bold</b> paragraph.</p><!-- no --><aside>Ad</aside></main>
-<footer>Footer text</footer>
-<script>var x = "</p><nav>";</script>
+SAMPLE = """<html lang=en>
+<head><script>if (a < b) { document.write("<main>never</main>"); }</script>
+<meta property="og:title" content="Rye, shared"><title>Rye &amp; wheat</title>
+<meta content='rye, flour' name='keywords'><meta name="description" content="Two grains compared">
+</head><body><aside>Buy flour</aside>
+<article>Outside the region</article>
+<main><ul><li>Rye is <i>dark</i></li><!-- hidden --><li>Wheat is light</li></ul><nav>next page</nav></main>
+<header><h1>The mill</h1></header><style>li { margin: 0 }</style><footer>Since 1902</footer>
 </body></html>"""
 
 
 def parsed(rows, *contents, **options):
     pages = rows("ordinal long, source string, content string",
-                 *[(i, "https://example.com/page", c) for i, c in enumerate(contents)])
+                 *[(i, "https://mill.example/grain", c) for i, c in enumerate(contents)])
     return parse_pages(pages, "2025-01-01T00:00:00Z", **options).orderBy("ordinal").collect()
 
 
 def test_sample_page(rows):
     page, = parsed(rows, SAMPLE)
-    assert page.title == "Test Page Title"
-    assert page.content == "Main Heading\nFirst\nbold\nparagraph."
+    assert page.title == "Rye & wheat"
+    assert page.content == "Rye is\ndark\nWheat is light"
     assert page.metadata == {
-        "domain": "example.com", "path": "/page", "description": "A test page description",
-        "keywords": "test, page", "og_title": "OG Title"}
-    assert (page.source, page.source_type, page.part) == ("https://example.com/page", "html", 0)
+        "domain": "mill.example", "path": "/grain", "description": "Two grains compared",
+        "keywords": "rye, flour", "og_title": "Rye, shared"}
+    assert (page.source, page.source_type, page.part) == ("https://mill.example/grain", "html", 0)
     assert page.timestamp == "2025-01-01T00:00:00Z"
 
 
 def test_custom_exclusion(rows):
     page, = parsed(rows, SAMPLE, exclude_elements=["main"])
-    assert page.content == "Navigation links\nSite header\nFooter text"
+    assert page.content == "Outside the region"
     assert parsed(rows, SAMPLE, exclude_elements=[])[0].content == parsed(rows, SAMPLE)[0].content
 
 
 CASES = [
     # content, title, text
-    ("<html><body><h1>Heading</h1><p>Content</p></body></html>", "Heading", "Heading\nContent"),
+    ("<body><p>before</p><h1>A mill</h1>after</body>", "A mill", "before\nA mill\nafter"),
     ("<title></title><h1> A <b>b</b> c</h1>", "Abc", "A\nb\nc"),
     ("<title>  </title><h1>no</h1>", "", "no"),
     ("<title> a &amp; b </title>", "a & b", "a & b"),
@@ -217,3 +212,11 @@ def test_registry():
         assert registry.get_parser("x") is second
     finally:
         registry.PARSERS.pop("x", None)
+
+
+def test_end_tags_without_a_start_cost_no_search():
+    import time
+    page = "<ul>" + "<li>x<b>y</b></q>" * 40_000
+    start = time.perf_counter()
+    walk(page, ())
+    assert time.perf_counter() - start < 5

@@ -8,13 +8,10 @@ from pagewell.sources.listing import (
     ingest_report, list_sources, read_source_lines, rejected, route_sources, source_list)
 
 TYPES = [
-    ("/path/to/file.pdf", "pdf"),
-    ("https://example.com/page.html?q=1", "html"),
-    ("https://example.com", "html"),
-    ("https://example.com/page", "html"),
-    ("example.com", "html"),
-    ("https://docs.example.org", "html"),
-    ("https://api.example.io/v1", "html"),
+    ("mill/plans/1902.PDF", "pdf"),
+    ("http://rye.org/a.b/list.html?sort=name&dir=up", "html"),
+    ("http://rye.org", "html"),
+    ("https://rye.org/grain/dark", "html"),
     ("a.tar.GZ", "gz"),
     (".html", "html"),
     ("file.", "html"),
@@ -147,3 +144,13 @@ def test_report(rows):
 def test_nothing_to_list(spark):
     with pytest.raises(ValueError):
         list_sources(None, None)
+
+
+def test_report_counts_repeated_failures(rows):
+    from pagewell.plans.ingest import ingest_points
+    sources = rows("ordinal long, source string", (0, "http://a/"), (1, "/t.unsupported"), (2, "/t.unsupported"),
+                   (3, "http://gone/"), (4, "http://gone/"))
+    pages = rows("source string, content string", ("http://a/", "<p>x</p>"))
+    _, rejects = ingest_points(sources, pages, timestamp="2025-01-01T00:00:00Z")
+    assert {r.reason: r.sources for r in ingest_report(sources, rejects).collect()} == {
+        "parsed": 1, "no_parser": 2, "not_fetched": 2}
