@@ -199,6 +199,13 @@ def _sparse(rows: DataFrame, key: str, vector: str = "vector") -> DataFrame:
         key, "bucket", F.round(F.col("_w").cast("double"), 6).alias("weight"))
 
 
+def _vector_text(vector: str = "vector"):
+    """A vector as text: `bucket:millionths` of what is not zero, in order."""
+    parts = F.transform(vector, lambda w, i: F.when(w != 0, F.concat(
+        i.cast("string"), F.lit(":"), F.round(w.cast("double") * 1e6).cast("long").cast("string"))))
+    return F.coalesce(F.array_join(parts, " "), F.lit("")).alias("vector")
+
+
 def _requests(spark, d) -> DataFrame:
     """Good and bad requests made of whole tables."""
     def call(table, number, key, tool, args):
@@ -359,25 +366,29 @@ def point_id_text(spark, d):
         "doc_id", ids.point_id(F.col("text")).alias("point_id"))
 
 
-def _payload_columns(points, *names):
+def _page_points(points, *names):
+    """Points of pages with their vectors and metadata."""
+    metadata = F.col("payload")["metadata"]
     return points.select(
-        "point_id", "ordinal", *(F.col("payload")[n].alias(n) for n in names))
+        "point_id", "ordinal", _vector_text(), *(F.col("payload")[n].alias(n) for n in names),
+        *(metadata[n].alias(n) for n in ("domain", "path", "description", "keywords")),
+        metadata["og_title"].alias("og_title"))
 
 
 def points_from_pages(spark, d):
     points = P.points_from_documents(parse_pages(_pages(spark, d), TIMESTAMP))
-    return _payload_columns(points, "source", "title", "content", "timestamp", "source_type")
+    return _page_points(points, "source", "title", "content", "timestamp", "source_type")
 
 
 def points_from_texts(spark, d):
     points = P.points_from_texts(_turns(spark, d).drop("collection"))
     return points.select(
-        "point_id", "ordinal", F.col("payload")["text"].alias("text"),
+        "point_id", "ordinal", _vector_text(), F.col("payload")["text"].alias("text"),
         F.to_json(F.col("payload")["metadata"]).alias("payload"))
 
 
 def points_distinct(spark, d):
-    return _text_points(spark, d).select("point_id", "ordinal", "copies")
+    return _text_points(spark, d).select("point_id", "ordinal", "copies", _vector_text())
 
 
 def create_collection(spark, d):
@@ -523,9 +534,7 @@ def render_page(spark, d):
 def ingest_job(spark, d):
     points, _ = ingest_points(
         _mixed_sources(spark, d), _pages(spark, d), timestamp=TIMESTAMP)
-    return points.select(
-        "point_id", "ordinal", F.size("vector").alias("vector_size"),
-        *(F.col("payload")[n].alias(n) for n in ("source", "title", "content")))
+    return _page_points(points, "source", "title", "content")
 
 
 def ingest_twice(spark, d):
@@ -535,7 +544,7 @@ def ingest_twice(spark, d):
     for _ in range(2):
         points, _ = ingest_points(sources, pages, timestamp=TIMESTAMP, embedder=store.embedder)
         store.upsert("documents", points, distinct=True)
-    return _payload_columns(store.points("documents"), "source", "title", "content")
+    return _page_points(store.points("documents"), "source", "title", "content")
 
 
 def ingest_streamed(spark, d):
@@ -545,7 +554,7 @@ def ingest_streamed(spark, d):
     store = CollectionStore(spark, f"{folder}/store")
     ingest_stream(store, stream_pages(spark, f"{folder}/in"), "pages", f"{folder}/checkpoint",
                   timestamp=TIMESTAMP).awaitTermination()
-    return _payload_columns(store.points("documents"), "source", "title", "content")
+    return _page_points(store.points("documents"), "source", "title", "content")
 
 
 def _scratch(spark) -> str:

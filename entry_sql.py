@@ -118,6 +118,17 @@ parsed AS (
   FROM stripped)"""
 
 
+def _with_vectors(table: str, key: str, columns: str, text: str = "text") -> str:
+    """CTEs of the words of a table's texts and a SELECT of columns and the vector as text."""
+    return f""",{_bag("bag", table, key, text)},
+vectors AS (SELECT {key}, string_agg(bucket || ':' || round(weight * 1e6)::BIGINT, ' ' ORDER BY bucket) AS vector
+  FROM bag GROUP BY {key})
+SELECT {columns}, coalesce(vector, '') AS vector FROM {table} LEFT JOIN vectors USING ({key})"""
+
+
+PAGE_POINT = "md5(source) AS point_id, ordinal, source, title, content, domain, path, description, keywords, og_title"
+
+
 # -- sources ------------------------------------------------------------------
 
 SOURCES = f"""
@@ -293,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
       page_variants AS (SELECT last AS ordinal, url AS source, html AS content
         FROM pages JOIN job ON job.s = pages.url),
       {_parsed('').lstrip().removeprefix(',')}
-      SELECT md5(source) AS point_id, ordinal, source, title, content FROM parsed"""
+      {_with_vectors("parsed", "source", PAGE_POINT, "content")}"""
     return {
         "source_list": f"WITH {SOURCES} SELECT ordinal, source FROM sources",
         "detect_source_type":
@@ -336,12 +347,14 @@ def oracle_sql() -> dict[str, str]:
         "point_id_source": """SELECT page_id, md5(url) AS point_id,
             md5(url)::UUID::VARCHAR AS uuid FROM pages""",
         "point_id_text": "SELECT doc_id, md5(text) AS point_id FROM documents",
-        "points_from_pages": f"""WITH {_parsed(PAGES)} SELECT md5(source) AS point_id, ordinal,
-            source, title, content, timestamp, source_type FROM parsed""",
-        "points_from_texts": """SELECT md5(text) AS point_id,
-            conv_id * 1048576 + turn AS ordinal, text, '{"role":"' || role || '"}' AS payload
-            FROM conversations""",
-        "points_distinct": f"WITH {TEXT_POINTS} SELECT point_id, ordinal, copies FROM text_points",
+        "points_from_pages": f"WITH {_parsed(PAGES)} "
+            + _with_vectors("parsed", "ordinal", PAGE_POINT + ", timestamp, source_type", "content"),
+        "points_from_texts": """WITH turns AS (
+            SELECT conv_id * 1048576 + turn AS ordinal, text, role FROM conversations)"""
+            + _with_vectors("turns", "ordinal", """md5(text) AS point_id, ordinal, text,
+            '{"role":"' || role || '"}' AS payload"""),
+        "points_distinct": f"WITH {TEXT_POINTS}"
+            + _with_vectors("text_points", "point_id", "point_id, ordinal, copies"),
         "ensure_collection": f"""WITH {LOG} SELECT DISTINCT collection AS name,
             64 AS vector_size, 'cosine' AS distance, 5::BIGINT AS batch_id, false AS deleted FROM log
             WHERE collection NOT IN (SELECT lang FROM documents
@@ -420,9 +433,8 @@ def oracle_sql() -> dict[str, str]:
               FILTER (n <= 10) || '],"next_offset":'
               || coalesce('"' || max(point_id) FILTER (n = 11) || '"', 'null') || '}}' AS result
             FROM page""",
-        "ingest_job": job.replace("SELECT md5(source) AS point_id,",
-                                  "SELECT 64 AS vector_size, md5(source) AS point_id,"),
+        "ingest_job": job,
         "ingest_twice": job,
-        "ingest_stream": f"""WITH {_parsed(PAGES)}
-            SELECT md5(source) AS point_id, ordinal, source, title, content FROM parsed""",
+        "ingest_stream": f"WITH {_parsed(PAGES)} "
+            + _with_vectors("parsed", "ordinal", PAGE_POINT, "content"),
     }
