@@ -12,15 +12,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewell.llm.shared import materialise, table
 
 #: Length of n-grams; n-grams per language; slots per n-gram; slots for each n-gram held.
 N, GRAMS, SLOTS, SPREAD = 4, 8_000, 4, 12
-#: Texts per language that are learned from at most (those with the least hash).
+#: Different texts per language that are learned from (those with the least hash).
 LEARNED = 4_000
+#: N-grams of texts that a task holds before it counts them.
+HELD = 2_000_000
 #: An n-gram is held only if it is in so large a share of the language's texts.
 LEAST_SHARE = 0.002
 FOLDS, UNKNOWN = 5, "und"
@@ -89,47 +91,85 @@ class Filters:
         return self.languages[best], float(shares[best])
 
 
+def _least(rows: DataFrame, keys: list, count: int) -> DataFrame:
+    """Of each `lang` the `count` rows with the least keys, and those that tie with the last.
+
+    The bounds come from counts per key, one key after another, so no language's rows meet
+    in one task: what is gathered is a count per value of a key.
+    """
+    taken, tied = F.lit(False), F.lit(True)
+    left = F.lit(count).cast("long")
+    for k, key in enumerate(keys):
+        sizes = rows.where(tied).groupBy("lang", key.cast("long").alias("key")).agg(
+            F.count(F.lit(1)).alias("n"), F.max(left).alias("left"))
+        each = sizes.groupBy("lang").agg(F.max("left").alias("left"),
+                                         F.sort_array(F.collect_list(F.struct("key", "n"))).alias("sizes"))
+        # Goes up the keys while rows are wanted; `before`: those wanted from the last key on.
+        end = F.expr("""aggregate(sizes, named_struct('last', cast(null as bigint), 'before', left, 'left', left),
+            (a, s) -> if(a.left > 0, named_struct('last', s.key, 'before', a.left, 'left', a.left - s.n), a))""")
+        bound = materialise(each.select(F.col("lang").alias(f"_lang{k}"), end.alias("_end")).select(
+            f"_lang{k}", F.col("_end.last").alias(f"_last{k}"), F.col("_end.before").alias(f"_left{k}")), "bounds")
+        rows = rows.join(bound, F.col("lang") == F.col(f"_lang{k}"))
+        taken = taken | (tied & (key < F.col(f"_last{k}")))
+        tied = tied & (key == F.col(f"_last{k}"))
+        left = F.col(f"_left{k}")
+    return rows.where(taken | tied)
+
+
+def _bits(column: str, shift: int):
+    """Sixteen bits of a long; the leading ones keep their sign, so the order is that of the longs."""
+    part = F.shiftright(column, shift)
+    return part if shift == 48 else part.bitwiseAND(F.lit(0xFFFF))
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Filters:
     """Filters from the rows that have a text and a language.
 
-    Per language at most `LEARNED` texts are read, those with the least hash of text, so
-    the same table trains the same filters. The driver receives the chosen n-grams only,
-    `GRAMS` per language. No labelled row gives filters without languages.
+    Per language `LEARNED` different texts are learned from (all, where there are fewer),
+    those with the least hash, so the same table trains the same filters and a text that is
+    repeated often counts once. Texts whose hashes agree in 32 bits with the last are taken
+    too. The driver receives the chosen n-grams only, about `GRAMS` per language. No
+    labelled row gives filters without languages.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("_h"))
-    # The least hashes are found without the texts: by counts of their leading bits.
-    top = F.shiftright("_h", 48)
-    upto = Window.partitionBy("lang").orderBy("top").rowsBetween(Window.unboundedPreceding, -1)
-    limit = materialise(rows.groupBy("lang", top.alias("top")).agg(F.count(F.lit(1)).alias("n")).select(
-        "lang", "top", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before")).where(
-        F.col("before") < LEARNED).groupBy("lang").agg(F.max("top").alias("last")), "languages")
-    bound = limit.withColumnRenamed("lang", "_lang")
-    bound = F.broadcast(bound) if bound.count() <= 10_000 else bound
-    chosen = rows.join(bound, F.col("lang") == F.col("_lang")).where(top <= F.col("last")).select("lang", "text")
+    hashes = materialise(rows.select("lang", "_h").distinct(), "hashes")
+    learned = materialise(_least(hashes, [_bits("_h", 48), _bits("_h", 32)], LEARNED).select(
+        F.col("lang").alias("_lang"), F.col("_h").alias("_hash")), "learned")
+    chosen = (rows.join(learned, (F.col("lang") == F.col("_lang")) & (F.col("_h") == F.col("_hash")))
+              .groupBy("lang", "_h").agg(F.first("text").alias("text")).select("lang", "text"))
 
     def grams(batches):
-        for batch in batches:
-            seen: dict[str, list] = {}
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen.setdefault(name, []).append(np.unique(_hashes(text)))
+        def counted(seen):
             for name, all_ in seen.items():
                 gram, n = np.unique(np.concatenate(all_), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(gram)), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64)),
-                     pa.array([len(all_) if k == 0 else 0 for k in range(len(gram))], pa.int64())],
-                    names=["lang", "gram", "n", "texts"])
-
-    counted = materialise(chosen.mapInArrow(grams, "lang string, gram long, n long, texts long")
-                          .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")), "grams")
-    place = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    texts = counted.groupBy("lang").agg(F.sum("texts").alias("_all")).withColumnRenamed("lang", "_lang")
-    held = (counted.join(texts, F.col("lang") == F.col("_lang"))
-            .where(F.col("n") >= F.greatest(F.lit(1), F.col("_all") * LEAST_SHARE))
-            .withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= GRAMS)
-            .groupBy("lang").agg(F.sort_array(F.collect_list("gram")).alias("grams"))).collect()
-    held.sort(key=lambda r: r["lang"])
-    return Filters([r["lang"] for r in held], [np.array(r["grams"], np.int64).view(np.uint64) for r in held])
+                    [pa.array([name] * (len(gram) + 1)), pa.array(np.r_[gram.view(np.int64), 0], mask=np.arange(len(gram) + 1) == len(gram)),
+                     pa.array(np.r_[n, len(all_)].astype(np.int64))], names=["lang", "gram", "n"])
+
+        seen, held = {}, 0
+        for batch in batches:
+            for name, text in zip(batch.column(0), batch.column(1)):
+                found = np.unique(_hashes(text.as_py()))
+                seen.setdefault(name.as_py(), []).append(found)
+                held += len(found)
+                if held >= HELD:
+                    yield from counted(seen)
+                    seen, held = {}, 0
+        yield from counted(seen)
+
+    # The row without an n-gram has the number of texts.
+    counted = materialise(chosen.mapInArrow(grams, "lang string, gram long, n long")
+                          .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    texts = counted.where("gram is null").select(F.col("lang").alias("_lang"), F.col("n").alias("_all"))
+    often = counted.where("gram is not null").join(texts, F.col("lang") == F.col("_lang")).where(
+        F.col("n") >= F.greatest(F.lit(1), F.col("_all") * LEAST_SHARE)).select("lang", "gram", "n")
+    held = _least(often, [-F.col("n"), _bits("gram", 48)], GRAMS).select("lang", "gram", "n").toPandas()
+    held = held.sort_values(["lang", "n", "gram"], ascending=[True, False, True])
+    languages = sorted(r["lang"] for r in texts.select(F.col("_lang").alias("lang")).collect())
+    by_language = {name: np.sort(g["gram"].to_numpy(np.int64)[:GRAMS]) for name, g in held.groupby("lang")}
+    languages = [name for name in languages if name in by_language]
+    return Filters(languages, [by_language[name].view(np.uint64) for name in languages])
 
 
 def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:

@@ -9,6 +9,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from pagewell.llm import bitslice, embeddings, langid, lm, packing, simhash, token_counts, token_files, warc
 from pagewell.llm.components import components
 from pagewell.llm.tokens import Encoder, default_path
@@ -220,3 +222,13 @@ def test_packing(spark, ids_of):
         filled[r["sequence_id"]] += r["length"]
     assert max(filled.values()) <= 2048
     assert sum(2048 - n for n in filled.values()) < 0.03 * 2048 * len(filled)
+
+
+def test_least_rows_of_each_language(spark):
+    rows = [("a" if k % 3 else "b", (k * 7919) % 501 - 250) for k in range(1500)]
+    frame = spark.createDataFrame(rows, "lang string, _h long").distinct()
+    for count in (1, 40, 10_000):
+        found = langid._least(frame, [F.shiftright("_h", 4), F.col("_h").bitwiseAND(F.lit(15))], count)
+        for lang in "ab":
+            least = sorted({h for name, h in rows if name == lang})[:count]
+            assert sorted(r["_h"] for r in found.where(F.col("lang") == lang).collect()) == least
