@@ -163,13 +163,16 @@ def _catalog(spark, d) -> DataFrame:
     return writes.unionByName(defined).unionByName(_deletions(spark, d))
 
 
-def _live(spark, d) -> DataFrame:
-    return C.live_points(_log(spark, d), _catalog(spark, d))
+def _live_keys(spark, d) -> DataFrame:
+    return C.live_keys(_log(spark, d), _catalog(spark, d))
 
 
-def _live_of(spark, d, name: str) -> DataFrame:
-    return _live(spark, d).where(F.col("collection") == name).select(
-        "point_id", F.struct("text", "metadata").alias("payload"))
+def _log_of(spark, d, name: str) -> tuple[DataFrame, DataFrame]:
+    """Written points of a collection, and the keys of the live ones."""
+    one = F.col("collection") == name
+    keys = _live_keys(spark, d).where(one).drop("collection")
+    log = _log(spark, d).where(one)
+    return log.select(*keys.columns, F.struct("text", "metadata").alias("payload")), keys
 
 
 def _text_points(spark, d) -> DataFrame:
@@ -413,7 +416,7 @@ def batch_plan(spark, d):
 
 
 def upsert_latest(spark, d):
-    return _live(spark, d).select("collection", "point_id", "batch_id", "ordinal")
+    return _live_keys(spark, d).select("collection", "point_id", "batch_id", "ordinal")
 
 
 def stored_count(spark, d):
@@ -424,7 +427,7 @@ def delete_collection(spark, d):
     """Live points when the deletion is the last thing that happened."""
     log = _log(spark, d).where(F.col("batch_id") < 3)
     catalog = _catalog(spark, d).where(F.col("batch_id") <= 3)
-    return C.live_points(log, catalog).groupBy("collection").agg(
+    return C.live_keys(log, catalog).groupBy("collection").agg(
         F.count(F.lit(1)).alias("points"))
 
 
@@ -433,21 +436,23 @@ def list_collections(spark, d):
 
 
 def collection_info(spark, d):
-    return C.collection_info(_catalog(spark, d), _live(spark, d))
+    return C.collection_info(_catalog(spark, d), _live_keys(spark, d))
 
 
 def scroll_page(spark, d):
-    page = C.scroll_page(_live_of(spark, d, "en"), 10, "8")
+    log, keys = _log_of(spark, d, "en")
+    page = C.scroll_page(log, 10, "8", keys)
     return page.select("point_id", F.col("payload")["text"].alias("text"), "next_offset")
 
 
 def scroll_all(spark, d):
-    return C.scroll_all(_live_of(spark, d, "en"), 10).select(
-        "page", "row", "point_id", "next_offset")
+    log, keys = _log_of(spark, d, "en")
+    return C.scroll_all(log, 10, keys).select(
+        "page", "row", "point_id", F.md5(F.col("payload")["text"]).alias("text"), "next_offset")
 
 
 def count_documents(spark, d):
-    return C.count_documents(_live(spark, d))
+    return C.count_documents(_live_keys(spark, d))
 
 
 def search_vector(spark, d):
@@ -526,7 +531,8 @@ def render_json(spark, d):
 
 
 def render_page(spark, d):
-    page = C.scroll_page(_live_of(spark, d, "en"), 10)
+    log, keys = _log_of(spark, d, "en")
+    page = C.scroll_page(log, 10, keys=keys)
     return R.page_json(page.withColumn(
         "payload", F.struct(F.md5(F.col("payload")["text"]).alias("text"))))
 

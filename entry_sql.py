@@ -380,9 +380,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT point_id, text, (SELECT tenth FROM page WHERE n = 1) AS next_offset
             FROM page WHERE n <= 10""",
         "scroll_all": f"""WITH {LOG}, ranked AS (
-              SELECT point_id, row_number() OVER (ORDER BY point_id) - 1 AS r
+              SELECT point_id, md5(text) AS text, row_number() OVER (ORDER BY point_id) - 1 AS r
               FROM live WHERE collection = 'en')
-            SELECT r // 10 AS page, r % 10 AS row, point_id, next.next_offset FROM ranked
+            SELECT r // 10 AS page, r % 10 AS row, point_id, text, next.next_offset FROM ranked
             LEFT JOIN (SELECT r // 10 - 1 AS page, point_id AS next_offset FROM ranked
               WHERE r % 10 = 0) next ON next.page = r // 10""",
         "count_documents": f"""WITH {LOG} SELECT collection, count(*) AS documents FROM live

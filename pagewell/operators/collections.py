@@ -81,12 +81,13 @@ def delete_collections(names: DataFrame) -> DataFrame:
         F.col("batch_id").cast("long").alias("batch_id"), F.lit(True).alias("deleted"))
 
 
-def live_points(log: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Newest row of every point written since its collection was last deleted.
+def live_keys(log: DataFrame, catalog: DataFrame) -> DataFrame:
+    """`collection, point_id` and the order columns of the rows that are live.
 
+    Those are the newest of every point written since its collection was last deleted.
     A point whose newest row is older than the deletion has no live row at all, so
-    the deletions are looked up for the winners only, which carry no payload. The few
-    names are copied to SALTS groups, as one collection may hold most of the points.
+    the deletions are looked up for the winners only. Vectors and payloads are not read.
+    The few names are copied to SALTS groups, as one collection may hold most of the points.
     """
     order = ["batch_id", "ordinal", "part"]
     live = _since_deletion(catalog).select(
@@ -97,9 +98,14 @@ def live_points(log: DataFrame, catalog: DataFrame) -> DataFrame:
     ).withColumn("_salt", F.pmod(F.xxhash64("point_id"), F.lit(SALTS)))
     winners = last.join(live, ["collection", "_salt"]).where(
         F.col("_last")["batch_id"] > F.col("dropped"))
-    keys = winners.select(
+    return winners.select(
         "collection", "point_id", *(F.col("_last")[o].alias(o) for o in order))
-    return log.join(keys, ["collection", "point_id", *order])
+
+
+def live_points(log: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The live rows of the log, whole; to count or page them, `live_keys` will do."""
+    keys = live_keys(log, catalog)
+    return log.join(keys, keys.columns)
 
 
 def stored_count(points: DataFrame, *keys: str) -> DataFrame:
@@ -124,37 +130,49 @@ def collection_info(catalog: DataFrame, points: DataFrame) -> DataFrame:
 
 def scroll_page(
     points: DataFrame, limit: int = DEFAULT_LIMIT, offset: str | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Up to `limit` points from the id `offset` on, in id order, without vectors.
 
     Every row carries `next_offset`, the id after the page, null on the last one.
+    `keys` names the rows of `points` that are live, by `point_id` and maybe other
+    columns of it; the page is then found on keys alone and payloads are fetched for
+    its rows only.
     """
     if limit < 0:
         raise ValueError("limit must not be negative")
-    rows = points.select("point_id", "payload")
+    rows = points.select("point_id", "payload") if keys is None else keys
     if offset is not None:
         rows = rows.where(F.col("point_id") >= offset)
     page = rows.orderBy("point_id").limit(limit + 1)
     whole = Window.partitionBy()
-    return (
+    page = (
         page.withColumn("_row", F.row_number().over(Window.orderBy("point_id")))
         .withColumn("next_offset", F.max(
             F.when(F.col("_row") == limit + 1, F.col("point_id"))).over(whole))
-        .where(F.col("_row") <= limit)
-        .select("point_id", "payload", "next_offset"))
+        .where(F.col("_row") <= limit).drop("_row"))
+    if keys is not None:
+        page = points.select(*keys.columns, "payload").join(page, keys.columns)
+    return page.select("point_id", "payload", "next_offset")
 
 
-def scroll_all(points: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """All pages of a collection: the points with `page`, `row` and `next_offset`."""
+def scroll_all(
+    points: DataFrame, limit: int = DEFAULT_LIMIT, keys: DataFrame | None = None,
+) -> DataFrame:
+    """All pages of a collection: the points with `page`, `row` and `next_offset`.
+
+    `keys` is as in `scroll_page`.
+    """
     if limit < 1:
         raise ValueError("limit must be at least 1")
-    ranked = number_by_id(points.select("point_id"), "_rank").select(
+    keys = points.select("point_id") if keys is None else keys
+    ranked = number_by_id(keys, "_rank").select(
         F.floor(F.col("_rank") / limit).alias("page"),
-        (F.col("_rank") % limit).alias("row"), "point_id")
+        (F.col("_rank") % limit).alias("row"), *keys.columns)
     heads = ranked.where(F.col("row") == 0).select(
         (F.col("page") - 1).alias("page"), F.col("point_id").alias("next_offset"))
     return ranked.join(heads, "page", "left").join(
-        points.select("point_id", "payload"), "point_id"
+        points.select(*keys.columns, "payload"), keys.columns
     ).select("page", "row", "point_id", "payload", "next_offset")
 
 

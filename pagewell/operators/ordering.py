@@ -55,5 +55,7 @@ def number_by_ordinal(rows: DataFrame, name: str, ordinal: str = "ordinal") -> D
 
 
 def number_by_id(rows: DataFrame, name: str, key: str = "point_id") -> DataFrame:
-    """Number rows by a distinct hashed id; its first four hex digits are the bucket."""
-    return number_rows(rows, name, [F.substring(F.col(key), 1, 4)], [F.col(key)])
+    """Number rows by a distinct hashed id; its first eight hex digits are the bucket,
+    the first four the bucket above."""
+    levels = [F.substring(F.col(key), 1, 4), F.substring(F.col(key), 1, 8)]
+    return number_rows(rows, name, levels, [F.col(key)])

@@ -23,6 +23,10 @@ from pagewell.operators.newest import newest, newest_with_copies
 from pagewell.operators.points import points_from_texts
 from pagewell.plans.registry import get_embedder
 
+#: Compaction writes a file for so many bytes of the batches that it reads.
+FILE_BYTES = 128 << 20
+
+
 @dataclass
 class _State:
     """What the catalog says about one collection."""
@@ -52,9 +56,13 @@ class CollectionStore:
 
     # -- reading -------------------------------------------------------------
 
+    def _path(self, path: str):
+        """A path and its file system, as Spark sees them."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def catalog(self) -> DataFrame:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.catalog_path)
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        folder, files = self._path(self.catalog_path)
         if files.exists(folder):
             return self.spark.read.schema(schemas.CATALOG).parquet(self.catalog_path)
         return self.spark.createDataFrame([], schemas.CATALOG)
@@ -87,15 +95,23 @@ class CollectionStore:
             raise ValueError(f"Unknown collection: {name}")
         return state
 
-    def points(self, name: str) -> DataFrame:
-        """Live points of a collection. After compaction this is a plain scan."""
-        batches = self._existing(name).batches
+    def _log(self, name: str, batches: list[int]) -> DataFrame:
         if not batches:
             return self.spark.createDataFrame([], schemas.POINT_LOG)
         folder = self._folder(name)
-        log = self.spark.read.schema(schemas.POINT_LOG).option("basePath", folder).parquet(
+        return self.spark.read.schema(schemas.POINT_LOG).option("basePath", folder).parquet(
             *(f"{folder}/batch_id={batch}" for batch in batches))
-        # The points of one batch are distinct.
+
+    def _keys(self, log: DataFrame, batches: list[int]) -> DataFrame:
+        """`point_id, batch_id` of the live rows; the points of one batch are distinct."""
+        keys = log.select("point_id", "batch_id")
+        return keys if len(batches) < 2 else keys.groupBy("point_id").agg(
+            F.max("batch_id").alias("batch_id"))
+
+    def points(self, name: str) -> DataFrame:
+        """Live points of a collection. After compaction this is a plain scan."""
+        batches = self._existing(name).batches
+        log = self._log(name, batches)
         return log if len(batches) < 2 else newest(log, ["point_id"], ["batch_id"])
 
     def list(self) -> DataFrame:
@@ -103,18 +119,24 @@ class CollectionStore:
 
     def info(self, name: str) -> DataFrame:
         state = self._existing(name)
-        return self.points(name).agg(F.count(F.lit(1)).alias("points_count")).select(
+        keys = self._keys(self._log(name, state.batches), state.batches)
+        return keys.agg(F.count(F.lit(1)).alias("points_count")).select(
             F.lit(name).alias("name"), F.lit(state.vector_size).alias("vector_size"),
             F.lit(state.distance).alias("distance"), "points_count")
 
     def count(self, name: str) -> int:
-        return self.points(name).count()
+        batches = self._existing(name).batches
+        return self._keys(self._log(name, batches), batches).count()
 
     def scroll(self, name: str, limit: int = C.DEFAULT_LIMIT, offset: str | None = None):
-        return C.scroll_page(self.points(name), limit, offset)
+        batches = self._existing(name).batches
+        log = self._log(name, batches)
+        return C.scroll_page(log, limit, offset, self._keys(log, batches))
 
     def scroll_all(self, name: str, limit: int = C.DEFAULT_LIMIT) -> DataFrame:
-        return C.scroll_all(self.points(name), limit)
+        batches = self._existing(name).batches
+        log = self._log(name, batches)
+        return C.scroll_all(log, limit, self._keys(log, batches))
 
     def search_vector(self, name: str, query: Sequence[float], limit: int = C.DEFAULT_LIMIT):
         """Hits with payload, by rank. Only ids and vectors are read to find them; the
@@ -228,7 +250,10 @@ class CollectionStore:
             return
         batch_id = self._next_batch()
         live = self.points(name).drop("batch_id")
-        width = self.spark.conf.get("spark.sql.shuffle.partitions")
-        self._write(name, batch_id, live.repartitionByRange(int(width), "point_id")
+        size = 0
+        for batch in state.batches:
+            folder, files = self._path(f"{self._folder(name)}/batch_id={batch}")
+            size += files.getContentSummary(folder).getLength()
+        self._write(name, batch_id, live.repartitionByRange(-(-size // FILE_BYTES) or 1, "point_id")
                     .sortWithinPartitions("point_id"))
         self._record(name, batch_id, "compact", state)

@@ -105,6 +105,23 @@ def test_scroll(rows):
     assert seen == [r.point_id for r in pages]
 
 
+def test_scroll_by_keys_reads_live_rows(rows):
+    log = rows("point_id string, batch_id long, payload struct<text:string>",
+               *[(f"{i:02x}00", b, (f"{i} of {b}",)) for i in range(10) for b in range(1 + i % 2)])
+    keys = log.groupBy("point_id").agg(F.max("batch_id").alias("batch_id"))
+    page = C.scroll_page(log, 4, "0100", keys).orderBy("point_id").collect()
+    assert [r.payload.text for r in page] == ["1 of 1", "2 of 0", "3 of 1", "4 of 0"]
+    assert {r.next_offset for r in page} == {"0500"}
+    pages = C.scroll_all(log, 4, keys).orderBy("page", "row").collect()
+    assert [r.payload.text for r in pages] == [f"{i} of {i % 2}" for i in range(10)]
+
+
+def test_live_keys_read_no_payload(rows):
+    log = rows(LOG, ("c", "x", 0, 0, 0, "old"), ("c", "x", 1, 0, 0, "new"))
+    keys = C.live_keys(log, rows(CATALOG, ("c", 4, "cosine", 0, False)))
+    assert [tuple(r) for r in keys.collect()] == [("c", "x", 1, 0, 0)]
+
+
 def test_store_counts_what_was_sent(store, texts):
     many = texts(("hello", {"a": "1"}), ("world", None), ("hello", {"a": "2"}))
     assert store.add_documents("c", many) == 3
