@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewell.llm.shared import shared_folder, table
+from pagewell.llm.shared import materialise, shared_folder, table
 from pagewell.llm.tokens import default_path, encoder, version
 
 CACHE = "digest binary, n_tokens long, tokenizer string"
@@ -56,7 +56,8 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str | None = None, key:
     (misses.mapInArrow(_encode(path), "digest binary, n_tokens long")
      .withColumn("tokenizer", F.lit(name))
      .write.mode("append").partitionBy("tokenizer").parquet(cache))
-    known = cached(spark, cache, name).withColumnRenamed("digest", "_digest")
+    # A table of its own, as Spark splits a hot digest only where the join reads a plain shuffle.
+    known = materialise(cached(spark, cache, name).withColumnRenamed("digest", "_digest"), "counts")
     sized = rows.select("key", "digest", F.octet_length("content").cast("long").alias("n_bytes"))
     return sized.join(known, F.col("digest") == F.col("_digest")).select(
         F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
