@@ -32,6 +32,8 @@ ID = "urn:pagewell:page:"
 ARCHIVE_BYTES, READ_BYTES = 256 << 20, 1 << 20
 #: The dictionary is trained on so many pages (those with the least hash), this much of each.
 DICTIONARY_PAGES, DICTIONARY_CHARS, DICTIONARY_BYTES = 256, 16_384, 64 << 10
+#: So many times the sample is expected below the bound that it is taken from.
+SPARE = 4
 #: Digests of repeated payloads, about 60 bytes each, are broadcast up to so many.
 BROADCAST_DIGESTS = 500_000
 ARCHIVES = "path string, records long"
@@ -40,8 +42,14 @@ RECORDS = ("record_id string, record_type string, target_uri string, date string
 
 
 def train_dictionary(pages: DataFrame, html: str = "html", key: str = "page_id") -> bytes:
-    """A dictionary from a bounded sample; empty where the sample is too small for one."""
-    rows = pages.where(F.col(html).isNotNull()).select(
+    """A dictionary from a bounded sample; empty where the sample is too small for one.
+
+    The least hashes of a uniform hash lie below a bound that follows from the number of
+    pages, so tasks send about `SPARE` times the sample together, however many they are.
+    """
+    share = min(1.0, SPARE * DICTIONARY_PAGES / max(1, pages.count()))
+    bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    rows = pages.where(F.col(html).isNotNull() & (F.xxhash64(key) <= bound)).select(
         F.substring(F.col(html), 1, DICTIONARY_CHARS).alias("html"), F.xxhash64(key).alias("h"))
     sample = [r["html"].encode() for r in rows.orderBy("h", "html").limit(DICTIONARY_PAGES).collect()]
     try:
