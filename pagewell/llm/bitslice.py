@@ -98,13 +98,45 @@ def _trees(node, start, adjacent, masks):
     return links, tree
 
 
+def _bridges(node, start, adjacent, masks, tree):
+    """Links that join trees as the masks join them: at most one less than there are trees."""
+    first_row = {b: first for b, first, _ in start}
+    block_of = {r: b for b, first, size in start for r in range(first, first + size)}
+    members: dict[int, list] = {}
+    for row, root in tree.items():
+        members.setdefault(root, []).append(row)
+    free = dict.fromkeys(first_row, 0)
+    for row in tree:
+        free[block_of[row]] |= 1 << (row - first_row[block_of[row]])
+    links, reached, queue = [], set(), []
+
+    def reach(root):
+        reached.add(root)
+        for row in members[root]:
+            free[block_of[row]] &= ~(1 << (row - first_row[block_of[row]]))
+        queue.extend(members[root])
+
+    for first in members:
+        if first in reached:
+            continue
+        queue.clear()
+        reach(first)
+        for row in queue:
+            for probe, b in adjacent[row]:
+                while new := masks[probe] & free[b]:
+                    child = first_row[b] + (new & -new).bit_length() - 1
+                    links.append((node[row], node[child]))
+                    reach(tree[child])
+    return links
+
+
 def group_links(node: np.ndarray, words: np.ndarray, group: np.ndarray, side: np.ndarray,
                 radii: tuple[int, ...]) -> list[tuple[int, int]]:
     """Links between fingerprints of the same group; rows are sorted by (group, side).
 
     In a group with two sides only pairs across are compared, else all pairs. Links
-    within the first radius are thinned to trees, which join the same rows; for a second,
-    wider radius one link per row and tree it comes near is added.
+    within the first radius are thinned to trees, which join the same rows; those within a
+    second, wider radius to links between the trees, which join the same rows again.
     """
     cut = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (side[1:] != side[:-1])])
     sizes = np.diff(np.r_[cut, len(group)])
@@ -144,15 +176,6 @@ def group_links(node: np.ndarray, words: np.ndarray, group: np.ndarray, side: np
         strict = {p: int(masks[0][p]) for p in i.tolist()}
         near, tree = _trees(node, start, adjacent, strict)
         links += near
-        for r, probes in adjacent.items() if len(masks) > 1 else ():
-            seen = {tree.get(r, r)}
-            for p, b in probes:
-                wide = int(masks[1][p]) & ~strict[p]
-                while wide:
-                    low = wide & -wide
-                    wide ^= low
-                    to = int(row_start[b]) + low.bit_length() - 1
-                    if tree.get(to, to) not in seen:
-                        seen.add(tree.get(to, to))
-                        links.append((node[r], node[to]))
+        if len(masks) > 1:
+            links += _bridges(node, start, adjacent, {p: int(masks[1][p]) for p in i.tolist()}, tree)
     return links

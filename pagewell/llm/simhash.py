@@ -14,6 +14,11 @@ links are verified on the shingles themselves.
 A bucket beyond `CHUNK` rows is split into chunks, and pairs of chunks go to tasks of
 their own; within a task distances are counted from bit planes, and links are thinned to
 trees before they leave it. Equal fingerprints or texts are one row from the start.
+
+By similarity, what is thinned are candidates. Trees join what the candidates join, so
+where all links of a tree are verified nothing is lost. Where one is rejected, the texts
+that the candidates join go through their buckets again with their shingles, and every
+candidate between different groups is verified before anything is thinned.
 """
 
 from __future__ import annotations
@@ -33,6 +38,8 @@ from pagewell.llm.components import components
 from pagewell.llm.shared import materialise, table
 
 CHUNK = 2048
+#: Shingles of a chunk, unless a text has more, where shingles are compared.
+CHUNK_SHINGLES = 1_000_000
 #: Rows that a bucket is expected to hold at most when blocks are chosen.
 BUCKET_ROWS = 256
 #: Keys per text, words of 64 bits per fingerprint, and the bits out of all of them that
@@ -108,6 +115,16 @@ def _signatures(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return rows.mapInArrow(run, "key long, digest binary, keys array<long>, fp binary")
 
 
+def _pairs_of_chunks(met: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns with chunks `i` and `j` and the `side` in that pair, once for each of `_chunks`."""
+    chunk = F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("_chunks") - 1), lambda j: F.struct(
+        F.least(F.col("_c"), j).alias("i"), F.greatest(F.col("_c"), j).alias("j"),
+        F.when(F.col("_c") > j, 1).otherwise(0).alias("side")))
+    return met.select("*", chunk.alias("_c")).select(*columns, F.explode(pairs).alias("p")).select(
+        *columns, "p.i", "p.j", "p.side")
+
+
 def bucket_links(rows: DataFrame, radii: tuple[int, ...]) -> DataFrame:
     """Links `a, b` between the nodes of `table, bucket, node, fp` whose `fp` differ little.
 
@@ -117,14 +134,8 @@ def bucket_links(rows: DataFrame, radii: tuple[int, ...]) -> DataFrame:
         F.col("table").alias("_t"), F.col("bucket").alias("_b"),
         F.ceil(F.col("_n") / CHUNK).cast("int").alias("_chunks"))
     met = rows.join(counts, (F.col("table") == F.col("_t")) & (F.col("bucket") == F.col("_b")))
-    chunk = F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("_chunks") - 1), lambda j: F.struct(
-        F.least(F.col("_c"), j).alias("i"), F.greatest(F.col("_c"), j).alias("j"),
-        F.when(F.col("_c") > j, 1).otherwise(0).alias("side")))
-    dealt = met.select("*", chunk.alias("_c")).select(
-        "table", "bucket", "node", "fp", F.explode(pairs).alias("p")).select(
-        "table", "bucket", "p.i", "p.j", "p.side", "node", "fp")
     keys = ["table", "bucket", "i", "j"]
+    dealt = _pairs_of_chunks(met, ["table", "bucket", "node", "fp"])
 
     def compare(frames):
         rest = None
@@ -206,10 +217,91 @@ def _similar(words: int, similarity: float):
                 shared = len(last[1] & other)
                 whole = len(last[1]) + len(other) - shared
                 keep.append(shared >= similarity * whole)
-            yield frame.loc[np.array(keep, bool), ["a", "b"]]
+            yield frame[["a", "b"]].assign(similar=np.array(keep, bool))
+    return run
+
+
+def _sets(words: int):
+    """`_set, shingles, size`: the distinct hashes of a text's shingles."""
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([x.tobytes() for x in sets], pa.binary()),
+                 pa.array([len(x) for x in sets], pa.int64())], names=["_set", "shingles", "size"])
     return run
 
 
+def _similar_of_group(node, label, words, sets, left, right, similarity):
+    """Verified links between rows of `left` and of `right`, thinned to trees of the labels."""
+    codes, flat = [None] * len(sets), np.unique(np.concatenate(sets), return_inverse=True)[1]
+    sizes = np.array([len(x) for x in sets])
+    for k, part in enumerate(np.split(flat, np.cumsum(sizes)[:-1])):
+        codes[k] = part
+    mark = np.zeros(len(flat), np.int32)
+    links, label = [], label.copy()
+    for a in left:
+        near = np.bitwise_count(words[right] ^ words[a]).sum(1) <= POSSIBLE
+        near &= label[right] != label[a]
+        near &= np.minimum(sizes[right], sizes[a]) >= similarity * np.maximum(sizes[right], sizes[a])
+        to = right[near]
+        if not len(to):
+            continue
+        mark[codes[a]] = 1
+        ends = np.cumsum(sizes[to])
+        shared = np.add.reduceat(mark[np.concatenate([codes[k] for k in to])], ends - sizes[to])
+        mark[codes[a]] = 0
+        for k in to[shared >= similarity * (sizes[to] + sizes[a] - shared)]:
+            if label[k] != label[a]:
+                links.append((node[a], node[k]))
+                label[label == label[k]] = label[a]
+    return links
+
+
+def similar_links(rows: DataFrame, similarity: float) -> DataFrame:
+    """Links `a, b` that join the nodes with different labels in a bucket as all similar pairs do.
+
+    rows: `table, bucket, part, node, label, size, fp, shingles`; a bucket holds the rows
+    of one part. Pairs are verified before they are thinned.
+    """
+    place = ["table", "bucket", "part"]
+    keys = [*place, "i", "j"]
+    counts = rows.groupBy(*place).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_size"), F.min("label").alias("_min"),
+        F.max("label").alias("_max")).where("_min <> _max").select(
+        *(F.col(c).alias(f"_{c}") for c in place),
+        F.ceil(F.greatest(F.col("_n") / CHUNK, F.col("_size") / CHUNK_SHINGLES)).cast("int").alias("_chunks"))
+    met = rows.join(counts, [F.col(c) == F.col(f"_{c}") for c in place])
+    dealt = _pairs_of_chunks(met, [*place, "node", "label", "fp", "shingles"])
+
+    def compare(frames):
+        rest = None
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            changed = (frame[keys].to_numpy()[1:] != frame[keys].to_numpy()[:-1]).any(axis=1)
+            bounds = np.r_[0, np.flatnonzero(changed) + 1]
+            for start, stop in zip(bounds[:-1], bounds[1:]):
+                yield from solve(frame.iloc[start:stop])
+            rest = frame.iloc[bounds[-1]:]
+        if rest is not None and len(rest):
+            yield from solve(rest)
+
+    def solve(frame):
+        side = frame["side"].to_numpy()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if frame["i"].iloc[0] == frame["j"].iloc[0]:
+            right = left
+        if not len(left) or not len(right):
+            return
+        words = np.frombuffer(b"".join(frame["fp"]), "<u8").reshape(len(frame), -1)
+        found = _similar_of_group(frame["node"].to_numpy(), frame["label"].to_numpy(), words,
+                                  [np.frombuffer(x, np.uint64) for x in frame["shingles"]], left, right, similarity)
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "side", "node").mapInPandas(compare, "a long, b long")
+
+
 def groups_by_similarity(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
                          similarity: float = 0.8) -> DataFrame:
     """`key, component` rows of documents in groups, except each group's smallest key.
@@ -234,8 +326,22 @@ def groups_by_similarity(docs: DataFrame, key: str = "doc_id", text: str = "text
         .join(asked, F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"]), "asked")
     paired = (links.join(texts.select(F.col("_key").alias("a"), F.col("_text").alias("left")), "a")
               .join(texts.select(F.col("_key").alias("b"), F.col("_text").alias("right")), "b"))
-    sure = paired.mapInPandas(_similar(words, similarity), "a long, b long")
+    judged = materialise(paired.mapInPandas(_similar(words, similarity), "a long, b long, similar boolean"), "judged")
+    sure = judged.where("similar").select("a", "b")
     found = components(sure)
+    rejected = judged.where("not similar").select(F.col("a").alias("_a"))
+    if not rejected.isEmpty():
+        parts = components(links).withColumnRenamed("component", "part")
+        open_ = parts.join(rejected, F.col("node") == F.col("_a")).select(F.col("part").alias("_part")).distinct()
+        parts = materialise(parts.join(open_, F.col("part") == F.col("_part"), "left_semi").join(
+            found.select(F.col("node").alias("_node"), "component"), F.col("node") == F.col("_node"), "left").select(
+            F.col("node").alias("_node"), "part", F.coalesce("component", "node").alias("label")), "open")
+        sets = texts.select("_key", "_text").join(parts, F.col("_key") == F.col("_node"), "left_semi").mapInArrow(
+            _sets(words), "_set long, shingles binary, size long")
+        sets = materialise(sets.join(parts, F.col("_set") == F.col("_node")).select(
+            "_set", "part", "label", "size", "shingles"), "sets")
+        more = similar_links(rows.join(sets, F.col("node") == F.col("_set")), similarity)
+        found = components(sure.unionByName(more))
     copies = signed.select(F.col("key").alias("_key"), "digest").join(
         nodes.select(F.col("digest").alias("_digest"), "node"), F.col("digest") == F.col("_digest"))
     named = copies.join(found.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
