@@ -44,7 +44,9 @@ CHUNK_SHINGLES = 1_000_000
 BUCKET_ROWS = 256
 #: Keys per text, words of 64 bits per fingerprint, and the bits out of all of them that
 #: may differ for a sure and for a possible candidate, in the search by similarity.
-KEYS, WORDS, SURE, POSSIBLE = 8, 4, 38, 54
+#: A pair at 0.8 is expected to differ in 38 bits, or 48 if it has few shingles; it exceeds
+#: 80 with 1 in 10^6 or less, and texts that share nothing differ in 128.
+KEYS, WORDS, SURE, POSSIBLE = 8, 4, 38, 80
 #: So many ids (8 bytes each) are broadcast to fetch texts; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -98,12 +100,15 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
 
 def _signatures(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """`key, digest, keys, fp`: what decides about a text in the search by similarity."""
+    """`key, digest, keys, fp`: what decides about a text in the search by similarity.
+
+    Keys and fingerprint are of the distinct shingles, as is the similarity.
+    """
     def run(batches):
         for batch in batches:
             digests, keys, fps = [], [], []
             for t in batch.column(1).to_pylist():
-                h = shingle_hashes(t, words)
+                h = np.unique(shingle_hashes(t, words))
                 digests.append(hashlib.md5(b" ".join(t.encode().lower().split()) if t else b"").digest())
                 keys.append([int(np.min(mixed(h, 101 + k)).view(np.int64)) if len(h) else 0 for k in range(KEYS)])
                 fps.append(fingerprint(h, WORDS).tobytes())

@@ -46,3 +46,29 @@ def test_chunks_of_rejected_candidates(spark, monkeypatch):
         made[k + 2] = made[k][:188] + [f"q{k}x{j}" for j in range(12)]
     texts = {int(n): " ".join(w) for n, w in zip(rng.permutation(len(made)), made)}
     assert found(spark, texts) == linked(texts)[1]
+
+
+def test_repeated_passages_do_not_count(spark):
+    rng = np.random.default_rng(13)
+    texts = {}
+    for k in range(40):
+        words = [f"w{k}x{j}" for j in range(204)]
+        changed = int(rng.integers(0, 8))
+        other = words[:200 - changed] + [f"c{k}x{j}" for j in range(4 + changed)]
+        at = int(rng.integers(0, 150))
+        texts[2 * k], texts[2 * k + 1] = " ".join(words), " ".join(other + other[at:at + 24] * (3 + k % 8))
+    near, groups = linked(texts)
+    assert len(near) == 40
+    assert found(spark, texts) == groups
+
+
+def test_candidates_at_the_asked_similarity():
+    rng = np.random.default_rng(14)
+    for shared, left, right in ((4, 0, 1), (8, 1, 1), (40, 5, 5), (160, 20, 20), (160, 0, 40)):
+        apart = []
+        for _ in range(400):
+            h = rng.integers(0, 1 << 63, shared + left + right).astype(np.uint64)
+            a, b = simhash.fingerprint(h[:shared + left], simhash.WORDS), simhash.fingerprint(
+                np.r_[h[:shared], h[shared + left:]], simhash.WORDS)
+            apart.append(int(np.bitwise_count(a ^ b).sum()))
+        assert max(apart) <= simhash.POSSIBLE
