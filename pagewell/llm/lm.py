@@ -194,4 +194,8 @@ def op2_lm_scores(spark, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_lm_scores": op2_lm_scores}
+def op2_lm_scores_order3(spark, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), order=3)
+
+
+QUERIES = {"op2_lm_scores": op2_lm_scores, "op2_lm_scores_order3": op2_lm_scores_order3}
