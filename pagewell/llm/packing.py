@@ -1,18 +1,22 @@
 """Packing documents, in order, into sequences of bounded length.
 
 The documents of a range of ids are one stream of tokens, cut into windows of at most
-`SIZE`. A cut costs nothing at the end of a document, little at the end of a sentence and
-more elsewhere; a window costs its padding. The cheapest cuts are found by dynamic
+`SIZE`. A cut costs nothing at the end of a document and little at the end of a sentence;
+elsewhere it costs more and is allowed only between two such places that are more than a
+window apart. A window costs its padding. The cheapest cuts are found by dynamic
 programming over the places where a cut is allowed. A window that ends at j and begins at
 i costs `cost(i) + i - j + SIZE`, so the best i is the least `cost(i) + i` among those not
 too far back: a sliding minimum, held in a monotone queue, constant time per place.
 
-A stream is solved in stretches; the tail of each, less than a window, is solved anew
-with the next, so only the end of a partition is cut for its own sake.
+A stream is solved as it comes. What all places agree on from which a later window may
+begin is final and given out; the rest is solved anew with what follows, so the cuts are
+those of the whole stream, however much of it is held.
 """
 
 from __future__ import annotations
 
+import zlib
+from bisect import bisect_left
 from collections import deque
 
 import numpy as np
@@ -27,19 +31,18 @@ from pagewell.llm.tokens import default_path, encoder
 SIZE, END_ID = 2048, 1
 #: What a cut costs, in tokens of padding: after a sentence, and at any other place.
 SENTENCE_CUT, INNER_CUT = 4, 24
-#: Other places where a cut is allowed: every so many tokens.
-GRID = 32
-#: Tokens that are solved at once.
+#: Tokens that are read before the stream is solved; cuts do not depend on it.
 STRETCH = 1 << 18
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
+DIGESTS = PIECES.replace("ids binary", "ids_crc32 long")
 
 
 def cuts(places: np.ndarray, penalties: np.ndarray, size: int, whole: bool) -> list[int]:
     """The cheapest cuts of a stream from 0, given the ascending places and their costs.
 
-    The first place is 0 and steps are at most `size`. `whole`: the last place must be
-    cut; else the last cut is the best within a window of the end.
+    The first place is 0 and steps are at most `size`. `whole`: the stream ends with the
+    last place, which is cut; else the cuts are those that hold whatever follows.
     """
     pos, pen = places.tolist(), penalties.tolist()
     value = [0] * len(pos)  # cost + place
@@ -54,10 +57,14 @@ def cuts(places: np.ndarray, penalties: np.ndarray, size: int, whole: bool) -> l
         while queue and value[queue[-1]] >= v:
             queue.pop()
         queue.append(j)
-    end = len(pos) - 1
-    if not whole:
-        end = min((j for j in range(len(pos)) if pos[j] > pos[-1] - size),
-                  key=lambda j: (value[j] - pos[j], -pos[j]))
+    # Later windows begin at places of the queue; where their ways back meet is final.
+    ways = [len(pos) - 1] if whole else [j for j in queue if pos[-1] - pos[j] < size]
+    while len(ways) > 1:
+        last = back[ways.pop()]
+        k = bisect_left(ways, last)
+        if k == len(ways) or ways[k] != last:
+            ways.insert(k, last)
+    end = ways[0]
     out = []
     while end:
         out.append(pos[end])
@@ -65,21 +72,29 @@ def cuts(places: np.ndarray, penalties: np.ndarray, size: int, whole: bool) -> l
     return out[::-1]
 
 
+def places_of(edges: np.ndarray, sentences: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a stream may be cut, ascending from 0, and what each cut costs.
+
+    edges: 0 and the ends of documents; sentences: ends of sentences, both ascending.
+    """
+    cost = np.full(int(edges[-1]) + 1, -1, np.int64)
+    cost[sentences] = SENTENCE_CUT
+    cost[edges] = 0
+    bounds = np.flatnonzero(cost >= 0)
+    for k in np.flatnonzero(np.diff(bounds) > size):
+        cost[bounds[k] + 1:bounds[k + 1]] = INNER_CUT
+    places = np.flatnonzero(cost >= 0)
+    return places, cost[places]
+
+
 def _stretch(documents: list[tuple], ends_sentence: np.ndarray, size: int, whole: bool):
     """Windows of the stretch, each a list of (document, from, to), and what is left."""
     sizes = np.array([len(d[2]) for d in documents])
     edges = np.r_[0, np.cumsum(sizes)]
-    total = int(edges[-1])
     stream = np.concatenate([d[2] for d in documents])
-    cost = np.full(total + 1, -1, np.int64)
-    cost[GRID::GRID] = INNER_CUT
-    cost[1:][ends_sentence[stream]] = SENTENCE_CUT
-    cost[edges] = 0
-    if not whole and len(documents[-1][2]) + documents[-1][1] < documents[-1][3]:
-        cost[total] = INNER_CUT
-    places = np.flatnonzero(cost >= 0)
+    places, cost = places_of(edges, np.flatnonzero(ends_sentence[stream]) + 1, size)
     windows, begin = [], 0
-    for end in cuts(places, cost[places], size, whole):
+    for end in cuts(places, cost, size, whole):
         first = int(np.searchsorted(edges, begin, "right")) - 1
         pieces = []
         while first < len(documents) and edges[first] < end:
@@ -98,29 +113,32 @@ def _stretch(documents: list[tuple], ends_sentence: np.ndarray, size: int, whole
     return windows, left
 
 
-def _pack(path: str, size: int, end_id: int | None):
+def _pack(path: str, size: int, end_id: int | None, whole_ids: bool):
+    kinds = [pa.int64()] * 3 + [pa.binary() if whole_ids else pa.int64()] + [pa.int64()] * 3
+    names = [c.split()[0] for c in (PIECES if whole_ids else DIGESTS).split(", ")]
+
     def run(batches):
         ends_sentence = encoder(path).sentence_ends()
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []
-        tokens = 0
+        tokens, enough = 0, STRETCH
 
         def solve(whole):
-            nonlocal waiting, tokens, sequence
+            nonlocal waiting, tokens, sequence, enough
             windows, left = _stretch(waiting, ends_sentence, size, whole)
             rows = []
             for pieces in windows:
                 offset = 0
                 for k, a, b in pieces:
                     key, start, ids, whole_size = waiting[k]
-                    rows.append((key, start + a, b - a, ids[a:b].astype("<u4").tobytes(), whole_size,
+                    piece = ids[a:b].astype("<u4").tobytes()
+                    rows.append((key, start + a, b - a, piece if whole_ids else zlib.crc32(piece), whole_size,
                                  sequence, offset))
                     offset += b - a
                 sequence += 1
             waiting, tokens = left, sum(len(d[2]) for d in left)
-            columns = list(zip(*rows))
-            kinds = [pa.int64()] * 3 + [pa.binary()] + [pa.int64()] * 3
-            names = [c.split()[0] for c in PIECES.split(", ")]
+            enough = max(STRETCH, 2 * tokens)
+            columns = list(zip(*rows)) or [()] * len(kinds)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
         for batch in batches:
@@ -136,7 +154,7 @@ def _pack(path: str, size: int, end_id: int | None):
                     if len(one):
                         waiting.append((key, 0, one, len(one)))
                         tokens += len(one)
-                    if tokens >= STRETCH:
+                    if tokens >= enough:
                         yield solve(False)
         if waiting:
             yield solve(True)
@@ -144,8 +162,9 @@ def _pack(path: str, size: int, end_id: int | None):
 
 
 def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id: int | None = END_ID,
-         key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per piece of a document in a sequence: `PIECES`.
+         key: str = "doc_id", text: str = "text", whole_ids: bool = True) -> DataFrame:
+    """One row per piece of a document in a sequence: `PIECES`, or `DIGESTS`, which have the
+    CRC-32 of the ids in their place.
 
     ids: little-endian unsigned 32-bit token ids; start: the document's tokens before the
     piece; offset: the sequence's tokens before it; doc_tokens: the document's tokens with
@@ -157,13 +176,11 @@ def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id
     path = tokenizer or default_path()
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-    return ordered.mapInArrow(_pack(path, size, end_id), PIECES)
+    return ordered.mapInArrow(_pack(path, size, end_id, whole_ids), PIECES if whole_ids else DIGESTS)
 
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:
-    pieces = pack(table(spark, sf_dir, "documents"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
-                         "sequence_id", "offset")
+    return pack(table(spark, sf_dir, "documents"), whole_ids=False)
 
 
 QUERIES = {"op9_packing": op9_packing}

@@ -16,16 +16,18 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Characters of texts that are encoded together; parts remembered between chunks.
-CHUNK_CHARS, KNOWN_PARTS = 1_000_000, 250_000
-#: Rows of a column that become Python strings together.
-ROWS = 256
+#: Bytes of texts that are encoded together; parts remembered between chunks.
+CHUNK_BYTES, KNOWN_PARTS = 2_000_000, 700_000
 #: New parts are given to the library in lines of so many.
 LINE = 400
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
-_OTHER_BLANK = re.compile(r"[^\S \n]")
-_AFTER_SIGN = re.compile(r"(?:\W|_|\A)[.,](?:[ \n]|\Z)")
+#: Texts whose words are not told apart by single blanks and line ends alone.
+_ODD = ("\\n\\x00|[ \\n][ \\n]|^[ \\n]|[ \\n]$|^$|[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}"
+        "\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
+_AFTER_SIGN = r"(?:[^\p{L}\p{N}]|^)[.,](?:[ \n]|$)"
 _FIRST, _GLUED = "\n\n", "\n\x00"  # a part without a blank before it; no part begins so by itself
 
 
@@ -48,26 +50,28 @@ def _spelled(part: str) -> str:
     return part if part.startswith("\n") else " " + part
 
 
-def _parts(text: str) -> list[str]:
-    """A text as parts; `_spelled` parts joined are the text again.
+def _parts_of_odd(text: str) -> list[str]:
+    """A text as parts that end before single blanks; `_spelled` parts joined are the text again."""
+    first, *others = _BEFORE_BLANK.split(text)
+    return [_FIRST + first, *(o[1:] for o in others)]
 
-    Where single blanks and line ends are all that stands between words, parts are words,
-    and a stop or comma after a letter or digit is a part of its own.
-    """
-    if "\n\x00" in text or _OTHER_BLANK.search(text) or len(text.split()) != text.count(" ") + text.count("\n") + 1:
-        first, *others = _BEFORE_BLANK.split(text)
-        return [_FIRST + first, *(o[1:] for o in others)]
-    text = text.replace("\n", " \n")
-    if not _AFTER_SIGN.search(text):
-        text = text.replace(". ", f" {_GLUED}. ").replace(", ", f" {_GLUED}, ")
-    first, *others = text.split(" ")
-    return [_FIRST + first, *others] if first else others
+
+def _parts_of_plain(texts: pa.Array) -> pa.ListArray:
+    """Parts of texts that are not odd: words, and a stop or comma after a letter or digit
+    is a part of its own."""
+    spaced = pc.replace_substring(texts, "\n", " \n")
+    glued = pc.replace_substring(pc.replace_substring(spaced, ". ", f" {_GLUED}. "), ", ", f" {_GLUED}, ")
+    told = pc.if_else(pc.match_substring_regex(texts, _AFTER_SIGN), spaced, glued)
+    return pc.split_pattern(pc.binary_join_element_wise(_FIRST, told, ""), " ")
 
 
 class Encoder:
-    """Ids as the tokenizer's library gives them, without begin, end or other added tokens."""
+    """Ids as the tokenizer's library gives them, without begin, end or other added tokens.
+
+    as_text: the strings of special tokens are ordinary text.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.by_parts, self.added = False, []
         if path.endswith(".model"):
@@ -85,7 +89,8 @@ class Encoder:
             self.library.no_padding()
             size = self.library.get_vocab_size()
             self.vocabulary = [self.library.id_to_token(i) or "" for i in range(size)]
-            self.added = [a["content"] for a in told.get("added_tokens") or ()]
+            self.library.encode_special_tokens = as_text
+            self.added = [a["content"] for a in told.get("added_tokens") or () if not (as_text and a["special"])]
             before = told.get("pre_tokenizer") or {}
             self.by_parts = (
                 told["model"].get("type", "BPE") == "BPE" and not told["model"].get("dropout")
@@ -108,8 +113,9 @@ class Encoder:
         """Encodes the new parts: plain words in long lines, whose ids are dealt to the words
         by the bytes they stand for; the others one by one."""
         new = self.parts.new
-        spelled = [_spelled(p) for p in new]
-        plain = [not p.startswith((_FIRST, _GLUED)) and len(p.split()) == 1 and not p[-1].isspace() for p in new]
+        spelled = [_spelled(p) if p[:1] == "\n" else " " + p for p in new]
+        plain = [(p[:1] != "\n" or not p.startswith((_FIRST, _GLUED))) and len(p.split()) == 1
+                 and not p[-1].isspace() for p in new]
         words = [w for w, is_plain in zip(spelled, plain) if is_plain]
         alone = [w for w, is_plain in zip(spelled, plain) if not is_plain]
         new.clear()
@@ -117,7 +123,7 @@ class Encoder:
         is_plain = np.array(plain, bool)
         lines = self._whole(["".join(words[k:k + LINE]) for k in range(0, len(words), LINE)])
         flat_words = np.fromiter(chain.from_iterable(lines), np.uint32)
-        word_ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        word_ends = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy(), dtype=np.int64)
         upto = np.searchsorted(np.cumsum(self.widths[flat_words]), word_ends, "right")
         sizes[is_plain] = np.diff(np.r_[0, upto])
         others = self._whole(alone)
@@ -129,19 +135,44 @@ class Encoder:
         self.flat = np.concatenate([self.flat, flat])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
-    def _chunk(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        if not self.by_parts or any(a in t for a in self.added for t in texts):
-            ids = self._whole(texts)
+    def _part_numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the parts of the texts one after another, and how many each has.
+
+        Distinct words are found by Arrow, so only those of a chunk become Python strings.
+        """
+        number = self.parts.__getitem__
+        special = np.zeros(len(texts), bool)
+        for content in self.added:
+            special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        odd = special | pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        counts = np.zeros(len(texts), np.int64)
+        lists = _parts_of_plain(texts.filter(pa.array(~odd)))
+        words = lists.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False)  # to_pylist takes ten times as long
+        numbers = np.fromiter(map(number, distinct), np.int64, len(distinct))
+        plain = numbers[words.indices.to_numpy()]
+        counts[~odd] = np.diff(lists.offsets.to_numpy())
+        if not odd.any():
+            return plain, counts
+        others = [list(map(number, [_FIRST + t] if whole else _parts_of_odd(t)))
+                  for t, whole in zip(texts.filter(pa.array(odd)).to_pylist(), special[odd].tolist())]
+        counts[odd] = np.fromiter(map(len, others), np.int64, len(others))
+        part = np.zeros(int(counts.sum()), np.int64)
+        of_odd = np.repeat(odd, counts)
+        part[~of_odd] = plain
+        part[of_odd] = np.fromiter(chain.from_iterable(others), np.int64)
+        return part, counts
+
+    def _chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not self.by_parts:
+            ids = self._whole(texts.to_pylist())
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
         if len(self.parts) > KNOWN_PARTS:
             self._forget()
-        number = self.parts.__getitem__
-        numbers = [list(map(number, _parts(t))) for t in texts]
+        part, counts = self._part_numbers(texts)
         if self.parts.new:
             self._learn()
-        counts = np.fromiter(map(len, numbers), np.int64, len(numbers))
-        part = np.fromiter(chain.from_iterable(numbers), np.int64, int(counts.sum()))
         lengths = self.starts[part + 1] - self.starts[part]
         ends = np.cumsum(lengths)
         at = np.repeat(self.starts[part] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
@@ -151,19 +182,17 @@ class Encoder:
     def encode(self, texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Flat ids and the number of ids per text, for some texts at a time; null is empty.
 
-        texts: a list or an Arrow column, of which few are Python strings at a time.
+        texts: a list or an Arrow column.
         """
-        slices = ([texts] if isinstance(texts, list) else
-                  (texts.slice(k, ROWS).to_pylist() for k in range(0, len(texts), ROWS)))
-        chunk, chars = [], 0
-        for text in chain.from_iterable(slices):
-            chunk.append(text or "")
-            chars += len(chunk[-1])
-            if chars >= CHUNK_CHARS:
-                yield self._chunk(chunk)
-                chunk, chars = [], 0
-        if chunk:
-            yield self._chunk(chunk)
+        column = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        column = pc.fill_null(column, "")
+        sizes = np.cumsum(pc.binary_length(column).to_numpy())
+        begin = 0
+        while begin < len(column):
+            before = int(sizes[begin - 1]) if begin else 0
+            end = min(int(np.searchsorted(sizes, before + CHUNK_BYTES)) + 1, len(column))
+            yield self._chunk(column.slice(begin, end - begin))
+            begin = end
 
     def sentence_ends(self) -> np.ndarray:
         """By id: whether a sentence or line may end after the token."""
@@ -171,9 +200,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, as_text: bool = False) -> Encoder:
     """The encoder of a file, loaded once per Python worker."""
-    return Encoder(path)
+    return Encoder(path, as_text)
 
 
 def version(path: str) -> str:
