@@ -29,7 +29,7 @@ from pagewell.llm.shared import materialise, table
 from pagewell.llm.tokens import Encoder, encoder
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SPACE_MARK = "▁"
 
 

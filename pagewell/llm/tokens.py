@@ -1,8 +1,9 @@
 """Token ids of texts, many at a time, inside tasks.
 
-A byte-level BPE whose pieces end before each single blank gives a text the ids of its
+A tokenizer whose pieces end before each single blank gives a text the ids of its
 blank-separated parts one after another, so each distinct part is encoded once per chunk
-of texts and looked up from then on. Other tokenizers encode whole texts.
+of texts and looked up from then on. So do a byte-level BPE and a sentencepiece model
+without pieces that go on after a blank or line end. Others encode whole texts.
 """
 
 from __future__ import annotations
@@ -20,14 +21,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of texts that are encoded together; parts remembered between chunks.
-CHUNK_BYTES, KNOWN_PARTS = 2_000_000, 700_000
+CHUNK_BYTES, KNOWN_PARTS = 1_000_000, 400_000
 #: New parts are given to the library in lines of so many.
 LINE = 400
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
 #: Texts whose words are not told apart by single blanks and line ends alone.
-_ODD = ("\\n\\x00|[ \\n][ \\n]|^[ \\n]|[ \\n]$|^$|[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}"
+_ODD = ("\\n\\x00|[ \\n][ \\n]|^\\n|[ \\n]$|^$|[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}"
         "\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
 _AFTER_SIGN = r"(?:[^\p{L}\p{N}]|^)[.,](?:[ \n]|$)"
+_MARK = "▁"  # a blank in a sentencepiece vocabulary
 _FIRST, _GLUED = "\n\n", "\n\x00"  # a part without a blank before it; no part begins so by itself
 
 
@@ -56,10 +58,12 @@ def _parts_of_odd(text: str) -> list[str]:
     return [_FIRST + first, *(o[1:] for o in others)]
 
 
-def _parts_of_plain(texts: pa.Array) -> pa.ListArray:
-    """Parts of texts that are not odd: words, and a stop or comma after a letter or digit
-    is a part of its own."""
+def _parts_of_plain(texts: pa.Array, signs: bool) -> pa.ListArray:
+    """Parts of texts that are not odd: words, and maybe a stop or comma after a letter or
+    digit is a part of its own."""
     spaced = pc.replace_substring(texts, "\n", " \n")
+    if not signs:
+        return pc.split_pattern(pc.binary_join_element_wise(_FIRST, spaced, ""), " ")
     glued = pc.replace_substring(pc.replace_substring(spaced, ". ", f" {_GLUED}. "), ", ", f" {_GLUED}, ")
     told = pc.if_else(pc.match_substring_regex(texts, _AFTER_SIGN), spaced, glued)
     return pc.split_pattern(pc.binary_join_element_wise(_FIRST, told, ""), " ")
@@ -73,12 +77,16 @@ class Encoder:
 
     def __init__(self, path: str, as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.by_parts, self.added = False, []
+        self.by_parts, self.added, self.odd = False, [], _ODD
         if path.endswith(".model"):
             import sentencepiece
 
             self.library = sentencepiece.SentencePieceProcessor(model_file=path)
             self.vocabulary = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
+            self.added, self.odd = [_MARK], _ODD + "|^ "
+            self.by_parts = (
+                not any(_MARK in v.lstrip(_MARK) or "\n" in v for v in self.vocabulary)
+                and "".join(self.library.encode(" a  b\n c ", out_type=str)) == f"{_MARK}{_MARK}a{_MARK}{_MARK}b<0x0A>{_MARK}c{_MARK}")
         else:
             from tokenizers import Tokenizer
 
@@ -111,8 +119,17 @@ class Encoder:
 
     def _learn(self) -> None:
         """Encodes the new parts: plain words in long lines, whose ids are dealt to the words
-        by the bytes they stand for; the others one by one."""
+        by the bytes they stand for; the others one by one, as are all of a sentencepiece
+        model, which puts the blank before each itself."""
         new = self.parts.new
+        if self.added == [_MARK]:
+            ids = self._whole([p[2:] if p.startswith(_FIRST) else p for p in new])
+            ids = [i[1:] if p[:1] == "\n" and not p.startswith(_FIRST) else i for i, p in zip(ids, new)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            new.clear()
+            return
         spelled = [_spelled(p) if p[:1] == "\n" else " " + p for p in new]
         plain = [(p[:1] != "\n" or not p.startswith((_FIRST, _GLUED))) and len(p.split()) == 1
                  and not p[-1].isspace() for p in new]
@@ -144,9 +161,9 @@ class Encoder:
         special = np.zeros(len(texts), bool)
         for content in self.added:
             special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
-        odd = special | pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        odd = special | pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
         counts = np.zeros(len(texts), np.int64)
-        lists = _parts_of_plain(texts.filter(pa.array(~odd)))
+        lists = _parts_of_plain(texts.filter(pa.array(~odd)), self.added != [_MARK])
         words = lists.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False)  # to_pylist takes ten times as long
         numbers = np.fromiter(map(number, distinct), np.int64, len(distinct))
