@@ -33,8 +33,8 @@ from pagewell.llm.tokens import default_path, encoder
 
 #: Bytes that a cut depends on; mean and least bytes of a chunk.
 WINDOW, MEAN_BYTES, LEAST_BYTES = 32, 1024, 128
-#: Bytes that are hashed together.
-STRETCH = 1 << 20
+#: Bytes that are hashed together; bytes of ids of texts that are put together at once.
+STRETCH, HELD_BYTES = 1 << 20, 1 << 20
 #: The filter: bits per shared chunk, and its least and greatest size in bits.
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 26
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -114,29 +114,39 @@ class Tokenizer:
             data = data.decode(errors="replace").encode()
         return data
 
-    def joined(self, pieces: list[np.ndarray]) -> np.ndarray:
-        """The ids of a text, given those of its pieces by themselves."""
+    def _broken(self, pieces: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[int, int, str]]]:
+        """The ids of a text's pieces one after another, and what of them must be encoded anew:
+        from which id, up to which id, and the text that they stand for."""
         pieces = [p for p in pieces if len(p)]
         if len(pieces) < 2:
-            return pieces[0] if pieces else np.zeros(0, np.uint32)
+            return (pieces[0].astype(np.uint32) if pieces else np.zeros(0, np.uint32)), []
         ids = np.concatenate(pieces).astype(np.uint32)
-        ends = np.cumsum(self.widths[ids])
-        joins = ends[np.cumsum([len(p) for p in pieces])[:-1] - 1]
+        starts = np.r_[0, np.cumsum(self.widths[ids])]
+        joins = starts[np.cumsum([len(p) for p in pieces])[:-1]]
         data = self.spelled(ids)
         array = np.frombuffer(data, np.uint8)
         before, after = array[:-1], array[1:]
         agreed = np.flatnonzero((before > 0x20) & (before < 0x7F) & ((after == 0x20) | (after == 0x0A))) + 1
-        broken = joins[~np.isin(joins, agreed)]
-        bounds = np.union1d(np.r_[0, len(array)], agreed)
-        at = np.searchsorted(bounds, broken)
-        windows = sorted(set(zip(bounds[at - 1].tolist(), bounds[at].tolist())))
-        starts = np.r_[0, ends]
-        out, last = [], 0
-        for begin, end in windows:
-            a, b = np.searchsorted(starts, (begin, end)).tolist()
-            out += [ids[last:a], *self.encode([bytes(data[begin:end]).decode()])]
-            last = b
-        return np.concatenate([*out, ids[last:]])
+        bounds = np.r_[0, agreed, len(array)]
+        at = np.searchsorted(bounds, joins)
+        broken = bounds[at] != joins
+        windows = np.unique(np.stack([bounds[at[broken] - 1], bounds[at[broken]]]), axis=1)
+        begins, ends = np.searchsorted(starts, windows)
+        return ids, [(a, b, bytes(data[m:n]).decode()) for a, b, m, n in zip(
+            begins.tolist(), ends.tolist(), *windows.tolist())]
+
+    def joined(self, texts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        """The ids of each text, given those of its pieces by themselves."""
+        told = [self._broken(pieces) for pieces in texts]
+        anew = iter(self.encode([text for _, windows in told for *_, text in windows]))
+        out = []
+        for ids, windows in told:
+            parts, last = [], 0
+            for a, b, _ in windows:
+                parts += [ids[last:a], next(anew)]
+                last = b
+            out.append(np.concatenate([*parts, ids[last:]]) if parts else ids)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -249,7 +259,7 @@ def _pieces(path: str, known, key_type, whole_ids: bool, cut: bool):
                 for n, pieces in enumerate(plan):
                     row += 1
                     if all(name is None for name, _ in pieces):
-                        ids = tokenizer.joined([next(encoded) for _ in pieces])
+                        ids = next(encoded) if pieces else np.zeros(0, np.uint32)
                         origin.append(n)
                         out.append((row, None, None, None, None, *_finished(tokenizer, ids, whole_ids)))
                         continue
@@ -288,28 +298,28 @@ def _assemble(path: str, key_type, whole_ids: bool):
 
     def run(batches):
         tokenizer = _tokenizer(path)
-        row, key, pieces = None, None, []
+        row, waiting, size = None, [], 0  # texts as (key, pieces); the last one may go on
 
-        def rows(done):
-            columns = [pa.array([k for k, _ in done], key_type)]
-            columns += [pa.array(c, k) for c, (*_, k) in zip(zip(*(r for _, r in done)), result)]
+        def rows(texts):
+            done = [_finished(tokenizer, ids, whole_ids) for ids in tokenizer.joined([p for _, p in texts])]
+            columns = [pa.array([k for k, _ in texts], key_type)]
+            columns += [pa.array(c, k) for c, (*_, k) in zip(zip(*done), result)]
             return pa.RecordBatch.from_arrays(columns, names=["key", *(c for c, *_ in result)])
 
-        def finish():
-            return key, _finished(tokenizer, tokenizer.joined(pieces), whole_ids)
-
         for batch in batches:
-            done = []
-            for own, number, ids in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3))):
-                if number != row:
-                    if row is not None:
-                        done.append(finish())
-                    row, key, pieces = number, own, []
-                pieces.append(np.frombuffer(ids, tokenizer.kind))
-            if done:
-                yield rows(done)
-        if row is not None:
-            yield rows([finish()])
+            for begin in range(0, len(batch), 256):
+                part = batch.slice(begin, 256)
+                for key, number, ids in zip(*(part.column(k).to_pylist() for k in (0, 1, 3))):
+                    if number != row:
+                        if size >= HELD_BYTES:
+                            yield rows(waiting)
+                            waiting, size = [], 0
+                        row = number
+                        waiting.append((key, []))
+                    waiting[-1][1].append(np.frombuffer(ids, tokenizer.kind))
+                    size += len(ids)
+        if waiting:
+            yield rows(waiting)
     return run
 
 

@@ -36,7 +36,7 @@ def test_joined_pieces_are_the_whole(library):
         inside = [k for k in range(len(text)) if text.startswith("<|endoftext|>", k)]
         places = [p for p in places if not any(k < p < k + 13 for k in inside)]
         pieces = [text[a:b] for a, b in zip([0, *places], [*places, len(text)])]
-        got = tokenizer.joined(tokenizer.encode(pieces))
+        got, = tokenizer.joined([tokenizer.encode(pieces)])
         assert got.tolist() == library.encode(text, add_special_tokens=False).ids, (text, pieces)
         assert tokenizer.decoded(got).decode() == library.decode(got.tolist(), skip_special_tokens=False) == text
 
