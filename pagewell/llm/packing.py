@@ -31,6 +31,8 @@ from pagewell.llm.tokens import default_path, encoder
 SIZE, END_ID = 2048, 1
 #: What a cut costs, in tokens of padding: after a sentence, and at any other place.
 SENTENCE_CUT, INNER_CUT = 4, 24
+#: Parts of texts whose ids a worker remembers.
+KNOWN_PARTS = 700_000
 #: Tokens that are read before the stream is solved; cuts do not depend on it.
 STRETCH = 1 << 18
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -48,15 +50,19 @@ def cuts(places: np.ndarray, penalties: np.ndarray, size: int, whole: bool) -> l
     value = [0] * len(pos)  # cost + place
     back = [0] * len(pos)
     queue = deque([0])
-    for j in range(1, len(pos)):
-        at = pos[j]
-        while at - pos[queue[0]] > size:
+    first = 0
+    for j, (at, price) in enumerate(zip(pos, pen)):
+        if not j:
+            continue
+        while at - pos[first] > size:
             queue.popleft()
-        back[j] = queue[0]
-        v = value[j] = value[queue[0]] + size + pen[j]
+            first = queue[0]
+        back[j] = first
+        v = value[j] = value[first] + size + price
         while queue and value[queue[-1]] >= v:
             queue.pop()
         queue.append(j)
+        first = queue[0]
     # Later windows begin at places of the queue; where their ways back meet is final.
     ways = [len(pos) - 1] if whole else [j for j in queue if pos[-1] - pos[j] < size]
     while len(ways) > 1:
@@ -91,8 +97,9 @@ def _stretch(documents: list[tuple], ends_sentence: np.ndarray, size: int, whole
     """Windows of the stretch, each a list of (document, from, to), and what is left."""
     sizes = np.array([len(d[2]) for d in documents])
     edges = np.r_[0, np.cumsum(sizes)]
-    stream = np.concatenate([d[2] for d in documents])
-    places, cost = places_of(edges, np.flatnonzero(ends_sentence[stream]) + 1, size)
+    ends = ends_sentence[np.concatenate([d[2] for d in documents])]
+    ends[:-1] &= ~ends[1:]  # a stop and the line end after it end one sentence
+    places, cost = places_of(edges, np.flatnonzero(ends) + 1, size)
     windows, begin = [], 0
     for end in cuts(places, cost, size, whole):
         first = int(np.searchsorted(edges, begin, "right")) - 1
@@ -118,7 +125,8 @@ def _pack(path: str, size: int, end_id: int | None, whole_ids: bool):
     names = [c.split()[0] for c in (PIECES if whole_ids else DIGESTS).split(", ")]
 
     def run(batches):
-        ends_sentence = encoder(path).sentence_ends()
+        tokenizer = encoder(path, known_parts=KNOWN_PARTS)
+        ends_sentence = tokenizer.sentence_ends()
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []
         tokens, enough = 0, STRETCH
@@ -143,7 +151,7 @@ def _pack(path: str, size: int, end_id: int | None, whole_ids: bool):
 
         for batch in batches:
             keys = iter(batch.column(0).to_pylist())
-            for ids, sizes in encoder(path).encode(batch.column(1)):
+            for ids, sizes in tokenizer.encode(batch.column(1)):
                 begin = 0
                 for n in sizes.tolist():
                     one = ids[begin:begin + n]

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of texts that are encoded together; parts remembered between chunks.
-CHUNK_BYTES, KNOWN_PARTS = 1_000_000, 400_000
+CHUNK_BYTES, KNOWN_PARTS = 2_000_000, 400_000
 #: New parts are given to the library in lines of so many.
 LINE = 400
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
@@ -72,10 +72,12 @@ def _parts_of_plain(texts: pa.Array, signs: bool) -> pa.ListArray:
 class Encoder:
     """Ids as the tokenizer's library gives them, without begin, end or other added tokens.
 
-    as_text: the strings of special tokens are ordinary text.
+    as_text: the strings of special tokens are ordinary text; known_parts: so many parts are
+    remembered, some 0.3 KB each.
     """
 
-    def __init__(self, path: str, as_text: bool = False):
+    def __init__(self, path: str, as_text: bool = False, known_parts: int = KNOWN_PARTS):
+        self.known_parts = known_parts
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.by_parts, self.added, self.odd = False, [], _ODD
         if path.endswith(".model"):
@@ -185,7 +187,7 @@ class Encoder:
             ids = self._whole(texts.to_pylist())
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
-        if len(self.parts) > KNOWN_PARTS:
+        if len(self.parts) > self.known_parts:
             self._forget()
         part, counts = self._part_numbers(texts)
         if self.parts.new:
@@ -217,9 +219,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, as_text: bool = False) -> Encoder:
+def encoder(path: str, as_text: bool = False, known_parts: int = KNOWN_PARTS) -> Encoder:
     """The encoder of a file, loaded once per Python worker."""
-    return Encoder(path, as_text)
+    return Encoder(path, as_text, known_parts)
 
 
 def version(path: str) -> str:
