@@ -16,6 +16,7 @@ import entry_sql
 from pagewell import ship
 from pagewell.functions import ids, markup, urls
 from pagewell.functions.lines import line_documents
+from pagewell.operators import codes as K
 from pagewell.operators import collections as C
 from pagewell.operators import nearby as N
 from pagewell.operators import points as P
@@ -494,6 +495,56 @@ def search_recall(spark, d):
     ).withColumn("recall", F.round("recall", 6))
 
 
+def search_codes(spark, d):
+    """Every vector asks for its ten nearest; codes are scanned, candidates scored."""
+    vectors = _vectors(spark, d)
+    return K.search_codes(K.add_codes(vectors), vectors, _vector_queries(spark, d), 10)
+
+
+def search_codes_blocks(spark, d):
+    """The same by the block join for more queries than are broadcast."""
+    vectors = _vectors(spark, d)
+    return K.search_codes(K.add_codes(vectors), vectors, _vector_queries(spark, d), 10,
+                          broadcast_bytes=0, query_block=200, point_slice=250)
+
+
+def search_codes_recall(spark, d):
+    """What is found of the exact hits, and whether a tenth of all pairs was scored for it."""
+    vectors, asked = _vectors(spark, d), _vector_queries(spark, d)
+    found = N.recall(search_codes(spark, d), S.top_k_pairs(vectors, asked, 10))
+    share = K.cost(K.add_codes(vectors), asked, 10).select((F.col("share") < 0.1).alias("under_a_tenth"))
+    return found.withColumn("recall", F.round("recall", 6)).crossJoin(share)  # one row each
+
+
+def _text_store(spark, d) -> CollectionStore:
+    """All document texts in one collection, those with labels written once more."""
+    store = CollectionStore(spark, _scratch(spark))
+    store.add_documents("texts", _texts(spark, d, True).drop("collection"))
+    labels = _table(spark, d, "labels").select(F.col("doc_id").alias("ordinal"))
+    store.add_documents("texts", _texts(spark, d, True).drop("collection").join(labels, "ordinal", "left_semi"))
+    return store
+
+
+def store_search(spark, d):
+    hits = _text_store(spark, d).search("texts", entry_sql.QUERY, 10)
+    return hits.select("rank", "point_id", F.col("payload")["text"].alias("text"), "score")
+
+
+def store_nearby(spark, d):
+    """Every benchmark text asks a collection of two batches through its codes."""
+    return _text_store(spark, d).search_nearby("texts", S.embed_queries(_text_queries(spark, d)), 10)
+
+
+def store_checked(spark, d):
+    """Points offered to a collection; those that stand for several documents lack a value."""
+    store = CollectionStore(spark, _scratch(spark))
+    store.create("texts", 64)
+    short = F.when(F.col("copies") > 1, F.slice("vector", 1, 63)).otherwise(F.col("vector"))
+    good, bad = store.checked("texts", _text_points(spark, d).withColumn("vector", short))
+    return good.select("point_id", F.lit(None).cast("string").alias("reason")).unionByName(
+        bad.select(F.col("detail").alias("point_id"), "reason"))
+
+
 def decode_requests(spark, d):
     decoded = R.decode_requests(_requests(spark, d))
     return decoded.select(
@@ -640,6 +691,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "search_blocks": search_blocks,
         "search_approx": search_approx,
         "search_recall": search_recall,
+        "search_codes": search_codes,
+        "search_codes_blocks": search_codes_blocks,
+        "search_codes_recall": search_codes_recall,
+        "store_search": store_search,
+        "store_nearby": store_nearby,
+        "store_checked": store_checked,
         "decode_requests": decode_requests,
         "requested_documents": requested_documents,
         "answer_searches": answer_searches,

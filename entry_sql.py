@@ -387,6 +387,13 @@ def oracle_sql() -> dict[str, str]:
               WHERE r % 10 = 0) next ON next.page = r // 10""",
         "count_documents": f"""WITH {LOG} SELECT collection, count(*) AS documents FROM live
             GROUP BY ALL""",
+        "store_checked": f"""WITH {TEXT_POINTS} SELECT point_id,
+            CASE WHEN copies > 1 THEN 'bad_vector' END AS reason FROM text_points""",
+        "store_nearby": f"""WITH {BATCH}
+            SELECT item_id AS query_id, rank, point_id, score FROM ranked WHERE rank <= 10""",
+        "search_codes_recall": f"""WITH {VECTORS}, {_ranked(10)}
+            SELECT count(*) AS exact_hits, count(*) AS found_hits, 1.0::DOUBLE AS recall,
+              true AS under_a_tenth FROM hits""",
         "search_vector": f"""WITH {VECTORS}, scored AS (
               SELECT point_id, {_cosine('v', probe)} AS score FROM vectors)
             SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id,
@@ -399,6 +406,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id, text,
               score FROM scored JOIN text_points USING (point_id)
             ORDER BY scored.score DESC, point_id LIMIT 10""",
+        "store_search": f"""WITH {TEXT_VECTORS},
+            asked AS (SELECT 0 AS id, {_lit(QUERY)} AS text), {_bag('asked_bag', 'asked', 'id')},
+            {_dense('asked_vector', 'asked_bag', 'asked', 'id')},
+            scored AS (SELECT point_id, {_cosine('d.v', 'a.v')} AS score
+              FROM doc_vectors d, asked_vector a)
+            SELECT (row_number() OVER (ORDER BY score DESC, point_id))::INTEGER AS rank, point_id, text,
+              score FROM scored JOIN text_points USING (point_id)
+            ORDER BY scored.score DESC, point_id LIMIT 10""",
         "search_batch": f"""WITH {BATCH}
             SELECT item_id AS query_id, rank, point_id, text, score
             FROM ranked JOIN text_points USING (point_id) WHERE rank <= 10""",
@@ -411,6 +426,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT query_id, rank, point_id, score FROM hits""",
         "search_blocks": f"""WITH {VECTORS}, {_ranked(10)}
             SELECT query_id, rank, point_id, score FROM hits""",
+        "search_codes": f"""WITH {VECTORS}, {_ranked(10)}
+            SELECT query_id, rank, point_id, score FROM hits""",
+        "search_codes_blocks": f"""WITH {VECTORS}, {_ranked(10)}
+            SELECT query_id, rank, point_id, score FROM hits""",
         "search_approx": f"""WITH {VECTORS}, {_SIGNS}, {_ranked(10, _NEAR)}
             SELECT query_id, rank, point_id, score FROM hits""",
         "search_recall": f"""WITH {VECTORS}, {_SIGNS}, {_named_hits('exact', 10)},

@@ -40,6 +40,9 @@ def cell_of(vector: Column, dimension: int, count: int = PLANES) -> Column:
     @F.arrow_udf(T.LongType())
     def cells(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
+            lengths = np.unique(np.diff(batch.offsets.to_numpy()))
+            if batch.null_count or (lengths != dimension).any():
+                raise ValueError(f"Vectors must have {dimension} values: null or {lengths[:5].tolist()}")
             rows = batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension)
             sides = rows.astype(np.float64) @ normals.T > 0
             yield pa.array(sides @ weights, pa.int64())

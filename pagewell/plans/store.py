@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pagewell import schemas
+from pagewell.operators import codes as K
 from pagewell.operators import collections as C
 from pagewell.operators import search as S
 from pagewell.operators.embed import Embedder, check_vectors, vector_size
@@ -50,6 +51,7 @@ class CollectionStore:
     def __init__(self, spark: SparkSession, path: str, embedder: Embedder | str = "hashed"):
         self.spark = spark
         self.points_path = f"{path}/points"
+        self.codes_path = f"{path}/codes"
         self.catalog_path = f"{path}/catalog"
         self.rejects_path = f"{path}/rejects"
         self.embedder = get_embedder(embedder) if isinstance(embedder, str) else embedder
@@ -154,6 +156,29 @@ class CollectionStore:
     def search_batch(self, name: str, queries: DataFrame, k: int = C.DEFAULT_LIMIT) -> DataFrame:
         return S.search_batch(self.points(name), queries, k, self.embedder)
 
+    def _code_folder(self, name: str) -> str:
+        return f"{self.codes_path}/{md5(name.encode()).hexdigest()}"
+
+    def codes(self, name: str) -> DataFrame:
+        """`point_id, code, step, error` of the live points, see `operators.codes`."""
+        batches = self._existing(name).batches
+        if not batches:
+            return self.spark.createDataFrame([], schemas.CODE_LOG)
+        folder = self._code_folder(name)
+        log = self.spark.read.schema(schemas.CODE_LOG).option("basePath", folder).parquet(
+            *(f"{folder}/batch_id={batch}" for batch in batches))
+        return log if len(batches) < 2 else newest(log, ["point_id"], ["batch_id"])
+
+    def search_nearby(self, name: str, queries: DataFrame, k: int = C.DEFAULT_LIMIT) -> DataFrame:
+        """`query_id, rank, point_id, score` of k hits for each of `query_id, query_vector`.
+
+        Codes, which each write adds beside its points, are scanned in place of vectors;
+        those of candidates alone are fetched. Nothing is lost by that, as the errors of
+        the codes are known: the hits are the k best.
+        """
+        points = self.points(name).select("point_id", "vector")
+        return K.search_codes(self.codes(name), points, queries, k)
+
     # -- writing -------------------------------------------------------------
 
     def _record(self, name, batch_id, action, state=None, deleted=False, sent=None, origin=None):
@@ -190,6 +215,9 @@ class CollectionStore:
         (points.select(*columns).write.mode("overwrite")
          .option("parquet.bloom.filter.enabled#point_id", "true")
          .parquet(f"{self._folder(name)}/batch_id={batch_id}"))
+        written = self._log(name, [batch_id]).select("point_id", "vector")
+        K.add_codes(written).drop("vector").write.mode("overwrite").parquet(
+            f"{self._code_folder(name)}/batch_id={batch_id}")
 
     def upsert(
         self, name: str, points: DataFrame, distinct: bool = False, origin: str | None = None,

@@ -51,6 +51,11 @@ POINT = T.StructType([
 # Points as they are stored, one folder per collection and batch.
 POINT_LOG = T.StructType([*POINT.fields, T.StructField("batch_id", T.LongType())])
 
+# What `operators.codes` adds to them, apart.
+CODE_LOG = T.StructType([
+    POINT["point_id"], T.StructField("code", T.BinaryType()), T.StructField("step", T.DoubleType()),
+    T.StructField("error", T.DoubleType()), T.StructField("batch_id", T.LongType())])
+
 # Append-only history of the collections.
 CATALOG = T.StructType([
     T.StructField("name", T.StringType()),

@@ -39,6 +39,7 @@ def ingest_stream(
     def write(batch: DataFrame, number: int) -> None:
         local = CollectionStore(batch.sparkSession, "", store.embedder)
         local.points_path, local.catalog_path = store.points_path, store.catalog_path
+        local.codes_path = store.codes_path
         local.rejects_path = store.rejects_path
         ingest(local, batch, collection=collection, timestamp=timestamp,
                origin=f"{name}/{number}", rejects_path=rejects_path)
