@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import entry_sql
 from pagewell import ship
-from pagewell.functions import ids, markup, urls
+from pagewell.functions import ids, pages, urls
 from pagewell.functions.lines import line_documents
 from pagewell.operators import codes as K
 from pagewell.operators import collections as C
@@ -272,20 +272,20 @@ def report(spark, d):
 
 def strip_elements(spark, d):
     return _page_variants(spark, d).select(
-        "ordinal", F.md5(markup.strip_elements(F.col("content"))).alias("stripped_md5"))
+        "ordinal", F.md5(pages.strip_elements(F.col("content"))).alias("stripped_md5"))
 
 
 def _stripped(spark, d):
     return _page_variants(spark, d).select(
-        "ordinal", markup.strip_elements(F.col("content")).alias("html"))
+        "ordinal", pages.strip_elements(F.col("content")).alias("html"))
 
 
 def page_title(spark, d):
-    return _stripped(spark, d).select("ordinal", markup.page_title(F.col("html")).alias("title"))
+    return _stripped(spark, d).select("ordinal", pages.page_title(F.col("html")).alias("title"))
 
 
 def page_text(spark, d):
-    return _stripped(spark, d).select("ordinal", markup.page_text(F.col("html")).alias("content"))
+    return _stripped(spark, d).select("ordinal", pages.page_text(F.col("html")).alias("content"))
 
 
 def url_parts(spark, d):
@@ -318,6 +318,18 @@ def nested_pages_parsed(spark, d):
     return _flat(parse_pages(_pages(spark, d).withColumn("content", nested), TIMESTAMP))
 
 
+def odd_page_parts(spark, d):
+    """Title and text of stripped pages with nested elements, an odd attribute, unclosed
+    elements and an entity in the place of a comma."""
+    odd = F.col("content")
+    for old, new in (("<nav>", "<nav><nav>in</nav>"), ("<footer>", "<footer><b title='a>b'><footer></p>x</footer>"),
+                     ("</h1>", "</em></h1>"), (", ", "&comma; ")):
+        odd = F.replace(odd, F.lit(old), F.lit(new))
+    stripped = _pages(spark, d).select("ordinal", pages.strip_elements(odd).alias("html"))
+    return stripped.select("ordinal", pages.page_title(F.col("html")).alias("title"),
+                           pages.page_text(F.col("html")).alias("content"))
+
+
 def custom_parser(spark, d):
     pages = spread(_table(spark, d, "documents")).select(
         F.col("doc_id").alias("ordinal"), "source", F.col("text").alias("content"))
@@ -659,6 +671,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "strip_elements": strip_elements,
         "page_title": page_title,
         "page_text": page_text,
+        "odd_page_parts": odd_page_parts,
         "url_parts": url_parts,
         "page_metadata": page_metadata,
         "parse_pages": pages_parsed,

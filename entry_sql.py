@@ -326,6 +326,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT ordinal, source, domain, path, description, keywords, og_title FROM parsed""",
         "parse_pages": f"WITH {_parsed(VARIANTS)} SELECT * FROM parsed",
         "parse_nested_pages": f"WITH {_parsed(PAGES)} SELECT * FROM parsed",
+        "odd_page_parts": f"WITH {_parsed(PAGES)} SELECT ordinal, title, content FROM parsed",
         "custom_parser": f"""WITH lines AS (
               SELECT doc_id, source, unnest(string_split(text, chr(10))) AS content,
                 generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents)

@@ -4,7 +4,8 @@ The expressions are exact for *plain* markup: tags nest properly once unclosed
 elements are closed by their parents, no element to strip or to read contains
 another of the same name, attribute values hold no angle brackets, and all
 entities are in ENTITIES. `is_plain` decides that per page, with regular
-expressions only; `operators.parse` sends the other pages to `functions.walker`.
+expressions only; `operators.parse` and `functions.pages` send
+the other pages to `functions.walker`.
 """
 
 from collections.abc import Sequence
@@ -113,8 +114,8 @@ def strip_named(html: Column, names: Sequence[str] | None = None) -> Column:
     return F.regexp_replace(html, "(?i)<(?:" + "|".join(element(n) for n in named) + ")", GAP)
 
 
-def strip_elements(html: Column, names: Sequence[str] | None = None) -> Column:
-    """The page without comments and the named elements."""
+def strip_plain(html: Column, names: Sequence[str] | None = None) -> Column:
+    """A plain page without comments and the named elements."""
     opaque = [n for n in OPAQUE if n in excluded_names(names)]
     return strip_named(F.regexp_replace(html, opaque_pattern(opaque), GAP), names)
 
@@ -156,8 +157,8 @@ def raw_heading(stripped: Column) -> Column:
         stripped, rf"(?i)<h1(?:[\s/][^>]*)?>({inside('h1')})</h1\s*>", 1)
 
 
-def page_title(stripped: Column) -> Column:
-    """Text of the first title; of the first h1 when there is none or it is empty."""
+def plain_title(stripped: Column) -> Column:
+    """Of a plain page: text of the first title; of the first h1 when there is none or it is empty."""
     title = raw_title(stripped)
     return F.when(title != "", strip(decode(title))).otherwise(
         text_nodes(raw_heading(stripped), ""))
@@ -179,8 +180,8 @@ def main_region(stripped: Column, bare: Column | None = None) -> Column:
     return region
 
 
-def page_text(stripped: Column) -> Column:
-    """Text nodes of the main region, one per line."""
+def plain_text(stripped: Column) -> Column:
+    """Of a plain page: text nodes of the main region, one per line."""
     return text_nodes(main_region(stripped), "\n")
 
 

@@ -140,6 +140,7 @@ class PageWalker(HTMLParser):
         while True:
             top = self.open.pop()
             self.open_names[top] -= 1
+            self._closed(top, top == tag)
             depth = len(self.open)
             if top in SILENT:
                 self.silent -= 1
@@ -153,6 +154,9 @@ class PageWalker(HTMLParser):
             if top == tag:
                 return
 
+    def _closed(self, tag, own):
+        """An element ends, by its own end tag or by that of one around it."""
+
     def _flush(self):
         if not self.buffer:
             return
@@ -190,6 +194,84 @@ class PageWalker(HTMLParser):
         return "\n".join(self.texts)
 
 
+class StrippedPage(PageWalker):
+    """Finds where a page's comments and excluded elements begin and end."""
+
+    def __init__(self, html: str, excluded: Sequence[str]):
+        super().__init__(excluded)
+        self.lines = [0, *(at + 1 for at, char in enumerate(html) if char == "\n")]
+        self.cuts: list[list[int]] = []
+        self.ends_next = False  # the last cut ends where the next thing begins
+        self.feed(html)
+        self.close()
+
+    def _next(self) -> int:
+        """Where the construct that is being handled begins."""
+        line, column = self.getpos()
+        at = self.lines[line - 1] + column
+        if self.ends_next:
+            self.cuts[-1].append(at)
+            self.ends_next = False
+        return at
+
+    def _start(self, handle, tag, attrs):
+        at, seen = self._next(), self.hidden_at is None
+        if seen and tag in self.excluded:
+            self.cuts.append([at])
+            self.ends_next = tag in markup.VOID
+        handle(tag, attrs)
+
+    def handle_starttag(self, tag, attrs):
+        self._start(super().handle_starttag, tag, attrs)
+
+    def handle_startendtag(self, tag, attrs):
+        self._start(super().handle_startendtag, tag, attrs)
+
+    def handle_endtag(self, tag):
+        self.tag_at = self._next()
+        super().handle_endtag(tag)
+
+    def _closed(self, tag, own):
+        if self.hidden_at == len(self.open):
+            if own:
+                self.ends_next = True
+            else:
+                self.cuts[-1].append(self.tag_at)
+
+    def handle_data(self, data):
+        self._next()
+
+    def handle_entityref(self, name):
+        self._next()
+
+    def handle_charref(self, name):
+        self._next()
+
+    def handle_comment(self, data):
+        at = self._next()
+        if self.hidden_at is None:
+            self.cuts.append([at])
+            self.ends_next = True
+
+    def handle_decl(self, decl):
+        self._next()
+
+    def handle_pi(self, data):
+        self._next()
+
+    def unknown_decl(self, data):
+        self._next()
+
+
+def stripped(html: str, excluded: Sequence[str]) -> str:
+    """The page as it is, with a gap for each comment and excluded element."""
+    out, last = [], 0
+    for begin, *end in StrippedPage(html, excluded).cuts:
+        out += [html[last:begin], markup.GAP]
+        last = end[0] if end else len(html)
+    return "".join([*out, html[last:]])
+
+
 def walk(html: str, excluded: Sequence[str]) -> tuple:
     """Title, main text and meta values of one page."""
     walker = PageWalker(excluded)
@@ -214,3 +296,15 @@ def walked_page(html: Column, names: Sequence[str] | None = None) -> Column:
 
     # Keeps filters on the result from being pushed below, where they would repeat it.
     return read.asNondeterministic()(html)
+
+
+def stripped_page(html: Column, names: Sequence[str] | None = None) -> Column:
+    """`stripped` per page; null for null pages."""
+    excluded = markup.excluded_names(names)
+
+    @F.pandas_udf("string")
+    def read(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in pages:
+            yield pd.Series([None if html is None else stripped(html, excluded) for html in batch], dtype=object)
+
+    return read.asNondeterministic()(html)

@@ -1,9 +1,10 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from pagewell.functions import markup
+from pagewell.functions import markup, pages
 from pagewell.functions.walker import walk
 from pagewell.operators.parse import parse_pages, parse_rows, utc_timestamp
 from pagewell.plans import registry
@@ -147,8 +148,8 @@ def test_expressions_and_walker_agree_on_plain_markup(rows):
         .withColumn("b", markup.bare_tags(F.col("o")))
         .withColumn("plain", markup.is_plain(content, F.col("o"), F.col("b")))
         .withColumn("h", markup.strip_named(F.col("o")))
-        .select("content", "plain", markup.page_title(F.col("h")).alias("t"),
-                markup.page_text(F.col("h")).alias("x"), markup.page_meta(F.col("h")).alias("m"))
+        .select("content", "plain", markup.plain_title(F.col("h")).alias("t"),
+                markup.plain_text(F.col("h")).alias("x"), markup.page_meta(F.col("h")).alias("m"))
         .collect())
     plain = [r for r in checked if r.plain]
     assert 1000 < len(plain) < len(checked)
@@ -158,6 +159,36 @@ def test_expressions_and_walker_agree_on_plain_markup(rows):
             r.content
 
 
+def test_public_functions_agree_with_the_walker_on_any_markup(rows):
+    """Stripping, then title and text of what is left, and both without stripping."""
+    rng = random.Random(11)
+    made = ["".join(rng.choice(PIECES) for _ in range(rng.randint(1, 14))) for _ in range(1500)]
+    made += [_tree(rng) for _ in range(1500)]
+    made += ["<nav>a<nav>b</nav>c</nav>x", "<p title='a>b'>x</p>", "caf&eacute; &#8217;", "<nav>a<p>b", "a<nav>b</div>c"]
+    frame = rows("content string", *((p,) for p in dict.fromkeys(made))).repartition(4)
+    left = frame.withColumn("s", pages.strip_elements(F.col("content"))).select(
+        "content", "s", pages.page_title(F.col("s")).alias("st"), pages.page_text(F.col("s")).alias("sx"),
+        pages.page_title(F.col("content")).alias("t"), pages.page_text(F.col("content")).alias("x")).collect()
+    for r in left:
+        title, text, *_ = walk(r.content, markup.DEFAULT_EXCLUDED)
+        assert (r.t, r.x, r.sx) == (title, text, text), r.content
+        # Markup inside of a title is no longer told apart once it is stripped.
+        if not re.search("(?i)<title[^>]*>[^<]*<(?!/title)", r.content):
+            assert r.st == title, r.content
+    nulls = rows("content string", (None,)).select(*(f(F.col("content")) for f in (
+        pages.strip_elements, pages.page_title, pages.page_text))).first()
+    assert list(nulls) == [None] * 3
+
+
+@pytest.mark.parametrize("page,names,want", [
+    ("<nav>a<nav>b</nav>c</nav>x<form>y</form>", ["form"], "<nav>a<nav>b</nav>c</nav>x<!---->"),
+    ("<nav>a<nav>b</nav>c</nav>x", None, "<!---->x"), ("<p title='a>b'>x", None, "<p title='a>b'>x"),
+    ("<div>a<nav>b</div>c&copy 1", None, "<div>a<!----></div>c&copy 1"),
+    ("a\n<!-- x -->\n<NAV\n>b</nav\n><aside/>c", None, "a\n<!---->\n<!----><!---->c"), ("a<nav>b", None, "a<!---->")])
+def test_stripped_markup(rows, page, names, want):
+    assert rows("c string", (page,)).select(pages.strip_elements(F.col("c"), names)).first()[0] == want
+
+
 def test_a_filter_on_the_result_is_not_pushed_below_the_reading(rows):
     pages = rows("ordinal long, source string, content string", (0, "a", "<h1>x</h1>"))
     plan = parse_pages(pages, "T").where("title = 'x'")._jdf.queryExecution().optimizedPlan().toString()
