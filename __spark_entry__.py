@@ -583,6 +583,53 @@ def answer_searches(spark, d):
                        F.col("hit")["score"].alias("score"))
 
 
+def _tool_requests(spark, d) -> DataFrame:
+    """Requests of the tools other than search, good and bad, made of whole tables."""
+    def call(table, key, tool, args):
+        return _table(spark, d, table).select(
+            F.concat(F.lit(f"{table}-{tool}-"), F.col(key).cast("string")).alias("request_id"),
+            F.lit(tool).alias("tool"), args.alias("args"))
+
+    name, lang = F.lit("en").alias("collection_name"), F.col("lang").alias("collection_name")
+    parts = [
+        call("labels", "doc_id", "list_collections", F.lit(None).cast("string")),
+        call("pages", "page_id", "get_documents", F.to_json(F.struct(
+            name, F.md5("url").alias("offset"), F.length(F.regexp_extract("url", "[0-9]+$", 0)).alias("limit")))),
+        call("documents", "doc_id", "get_documents", F.to_json(F.struct(lang, F.md5("source").alias("offset")))),
+        call("benchmark", "item_id", "get_documents", F.to_json(F.struct(
+            F.lit("none such").alias("collection_name"), F.col("text").alias("offset")))),
+        call("customer", "c_custkey", "get_documents", F.to_json(F.struct(name, F.lit("x").alias("limit")))),
+        call("documents", "doc_id", "add_documents", F.to_json(F.struct(lang, F.transform(
+            F.split("text", "\n"), lambda t: F.struct(t.alias("text"))).alias("documents")))),
+        call("labels", "doc_id", "add_documents", F.lit('{"collection_name":"en"}')),
+        call("documents", "doc_id", "delete_collection", F.to_json(F.struct(lang))),
+        call("labels", "doc_id", "delete_collection", F.lit("{}")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def answer_lists(spark, d):
+    return A.answer_lists(_catalog(spark, d), _tool_requests(spark, d))
+
+
+def answer_pages(spark, d):
+    """Pages of all documents' collections from every page's and source's digest on."""
+    keys = _live_keys(spark, d)
+    points = _log(spark, d).select(*keys.columns, F.struct(F.md5("text").alias("text")).alias("payload"))
+    return A.answer_pages(points, keys, _tool_requests(spark, d))
+
+
+def answer_additions(spark, d):
+    return A.answer_additions(_tool_requests(spark, d))
+
+
+def answer_deletions(spark, d):
+    return A.answer_deletions(_tool_requests(spark, d))
+
+
 def render_json(spark, d):
     """The hits of each vector that asks for its three nearest, as JSON."""
     hits = S.top_k_pairs(_vectors(spark, d), _vector_queries(spark, d), 3)
@@ -713,6 +760,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "decode_requests": decode_requests,
         "requested_documents": requested_documents,
         "answer_searches": answer_searches,
+        "answer_lists": answer_lists,
+        "answer_pages": answer_pages,
+        "answer_additions": answer_additions,
+        "answer_deletions": answer_deletions,
         "render_json": render_json,
         "render_page": render_page,
         "ingest_job": ingest_job,

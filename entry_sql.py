@@ -438,6 +438,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS exact_hits, count(n.point_id) AS found_hits,
               round(count(n.point_id) / count(*), 6) AS recall
             FROM exact e LEFT JOIN near n USING (query_id, point_id)""",
+        "answer_lists": f"""WITH {LOG} SELECT 'labels-list_collections-' || doc_id AS request_id,
+            (SELECT '["' || string_agg(name, '","' ORDER BY name) || '"]' FROM live_names) AS result FROM labels""",
+        "answer_pages": f"""WITH {LOG}, asked AS (
+              SELECT 'pages-get_documents-' || page_id AS request_id, 'en' AS collection, md5(url) AS start,
+                length(regexp_extract(url, '[0-9]+$')) AS n FROM pages
+              UNION ALL SELECT 'documents-get_documents-' || doc_id, lang, md5(source), 10 FROM documents
+              UNION ALL SELECT 'benchmark-get_documents-' || item_id, 'none such', text, 10 FROM benchmark),
+            starts AS (SELECT DISTINCT collection, start, n FROM asked),
+            found AS (SELECT s.*, l.point_id, l.text,
+                row_number() OVER (PARTITION BY s.collection, s.start, s.n ORDER BY l.point_id) AS r
+              FROM starts s JOIN live l ON l.collection = s.collection AND l.point_id >= s.start),
+            shown AS (SELECT collection, start, n, '{{"documents":[' || coalesce(string_agg('{{"id":"' || point_id
+                || '","payload":{{"text":"' || md5(text) || '"}}}}', ',' ORDER BY r) FILTER (r <= n), '')
+                || '],"next_offset":' || coalesce('"' || max(point_id) FILTER (r = n + 1) || '"', 'null') || '}}' AS result
+              FROM found GROUP BY ALL)
+            SELECT request_id, coalesce(result, '{{"documents":[],"next_offset":null}}') AS result
+            FROM asked LEFT JOIN shown USING (collection, start, n)""",
+        "answer_additions": """SELECT 'documents-add_documents-' || doc_id AS request_id,
+            '{"stored_count":' || len(string_split(text, chr(10))) || '}' AS result FROM documents""",
+        "answer_deletions": """SELECT 'documents-delete_collection-' || doc_id AS request_id,
+            '{"deleted":true}' AS result FROM documents""",
         "decode_requests": f"WITH {DECODED} SELECT * FROM decoded",
         "requested_documents": """SELECT 'documents-1-' || doc_id AS request_id,
             lang AS collection, 0 AS position, text FROM documents""",

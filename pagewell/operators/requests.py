@@ -93,12 +93,15 @@ def page_json(page: DataFrame) -> DataFrame:
     collected = page.agg(
         _sorted_by(F.collect_list(document), "id").alias("documents"),
         F.max("next_offset").alias("next_offset"))
-    # Payloads leave out their nulls, a page shows that there is no next one.
+    return collected.select(documents_json(F.to_json("documents"), F.col("next_offset")).alias("result"))
+
+
+def documents_json(documents: Column, next_offset: Column) -> Column:
+    """A page of documents, given as JSON; payloads leave out their nulls, a page shows that
+    there is no next one."""
     following = F.coalesce(
-        F.regexp_extract(F.to_json(F.array("next_offset")), r"^\[(.+)\]$", 1), F.lit("null"))
-    return collected.select(F.concat(
-        F.lit('{"documents":'), F.to_json("documents"), F.lit(',"next_offset":'), following,
-        F.lit("}")).alias("result"))
+        F.regexp_extract(F.to_json(F.array(next_offset)), r"^\[(.+)\]$", 1), F.lit("null"))
+    return F.concat(F.lit('{"documents":'), documents, F.lit(',"next_offset":'), following, F.lit("}"))
 
 
 def stored_json(stored: DataFrame) -> DataFrame:
