@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -26,6 +25,7 @@ from pagewell.plans import answers as A
 from pagewell.operators.embed import check_vectors, embed_text, vector_size
 from pagewell.operators.parse import parse_pages, parse_rows
 from pagewell.plans.ingest import ingest_points
+from pagewell.plans.staging import shared_path
 from pagewell.plans.store import CollectionStore
 from pagewell.sources.content import load_content, spread
 from pagewell.sources.listing import (
@@ -530,7 +530,7 @@ def search_codes_recall(spark, d):
 
 def _text_store(spark, d) -> CollectionStore:
     """All document texts in one collection, those with labels written once more."""
-    store = CollectionStore(spark, _scratch(spark))
+    store = CollectionStore(spark, shared_path(spark))
     store.add_documents("texts", _texts(spark, d, True).drop("collection"))
     labels = _table(spark, d, "labels").select(F.col("doc_id").alias("ordinal"))
     store.add_documents("texts", _texts(spark, d, True).drop("collection").join(labels, "ordinal", "left_semi"))
@@ -549,7 +549,7 @@ def store_nearby(spark, d):
 
 def store_checked(spark, d):
     """Points offered to a collection; those that stand for several documents lack a value."""
-    store = CollectionStore(spark, _scratch(spark))
+    store = CollectionStore(spark, shared_path(spark))
     store.create("texts", 64)
     short = F.when(F.col("copies") > 1, F.slice("vector", 1, 63)).otherwise(F.col("vector"))
     good, bad = store.checked("texts", _text_points(spark, d).withColumn("vector", short))
@@ -655,7 +655,7 @@ def ingest_job(spark, d):
 
 def ingest_twice(spark, d):
     """The job on all pages, twice, into a store; what is stored afterwards."""
-    store = CollectionStore(spark, _scratch(spark))
+    store = CollectionStore(spark, shared_path(spark))
     sources, pages = _mixed_sources(spark, d), _pages(spark, d)
     for _ in range(2):
         points, _ = ingest_points(sources, pages, timestamp=TIMESTAMP, embedder=store.embedder)
@@ -665,7 +665,7 @@ def ingest_twice(spark, d):
 
 def ingest_streamed(spark, d):
     """All pages through the streaming ingest."""
-    folder = _scratch(spark)
+    folder = shared_path(spark)
     _pages(spark, d).write.parquet(f"{folder}/in")
     store = CollectionStore(spark, f"{folder}/store")
     ingest_stream(store, stream_pages(spark, f"{folder}/in"), "pages", f"{folder}/checkpoint",
@@ -673,16 +673,6 @@ def ingest_streamed(spark, d):
     return _page_points(store.points("documents"), "source", "title", "content")
 
 
-def _scratch(spark) -> str:
-    """A new folder under the shared one; a local session may use a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/pagewell-{os.urandom(8).hex()}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="pagewell-")
-
-
 def entry(spark: SparkSession) -> DataFrame:
     """Pages parsed, embedded and searched with every benchmark text."""
     d = "/root/testdata/sf0.001"

@@ -315,7 +315,8 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN html IS NULL THEN 'not_fetched' END AS reason
             FROM sources s LEFT JOIN pages p ON p.url = s.source""",
         "ingest_report": f"""WITH {LOADED} SELECT coalesce(reason, 'parsed') AS reason,
-            count(*) AS sources FROM loaded GROUP BY ALL""",
+            count(*) AS sources, CASE reason WHEN 'no_parser' THEN 'route' WHEN 'not_fetched' THEN 'load'
+              ELSE 'done' END AS stage FROM loaded GROUP BY ALL""",
         "strip_elements": f"""WITH {VARIANTS}
             SELECT ordinal, md5({_STRIPPED}) AS stripped_md5 FROM page_variants""",
         "page_title": f"WITH {_parsed(VARIANTS)} SELECT ordinal, title FROM parsed",

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pagewell import schemas
 from pagewell.functions import markup, urls, walker
 from pagewell.functions.text import strip
+from pagewell.plans.staging import written
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -106,7 +107,8 @@ def parse_rows(
 
     The parser returns any number of documents, each a dict with `content` and
     optionally `title` and `metadata`. An error drops its own source only; it is
-    reported as `parse_error`.
+    reported as `parse_error`. The parser runs once per page, at this call: what it gives is
+    written, and documents and rejects are read from that.
     """
     fields = schemas.PARSED.fieldNames()
     extra = [f for f in pages.schema.fields if f.name not in (*fields, "content")]
@@ -135,7 +137,7 @@ def parse_rows(
                 rows.extend(made)
             yield pd.DataFrame(rows, columns=output.fieldNames(), dtype=object)
 
-    ran = pages.where(F.col("content").isNotNull()).mapInPandas(run, output)
+    ran = written(pages.where(F.col("content").isNotNull()).mapInPandas(run, output))
     documents = ran.where(F.col("error").isNull()).drop("error").withColumn(
         "timestamp", utc_timestamp(timestamp))
     rejects = ran.where(F.col("error").isNotNull()).select(

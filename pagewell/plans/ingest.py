@@ -1,13 +1,16 @@
 """The ingest job: sources to points of a collection."""
 
-from collections.abc import Mapping
+import os
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from hashlib import md5
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewell.operators.embed import Embedder
 from pagewell.operators.newest import newest_with_copies
+from pagewell.operators.parse import parse_pages
 from pagewell.operators.points import points_from_documents
 from pagewell.plans.registry import PARSERS, Parser
 from pagewell.plans.store import CollectionStore
@@ -20,13 +23,14 @@ DEFAULT_COLLECTION = "documents"
 def parse_sources(
     sources: DataFrame, pages: DataFrame | None = None, source_type: str | None = None,
     timestamp: datetime | str | None = None, parsers: Mapping[str, Parser] | None = None,
-    distinct: bool = False,
+    distinct: bool = False, exclude_elements: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Documents and rejects of a source list (`ordinal, source`).
 
     The content comes from `pages` (`source, content`, one row per source), or from
     a `content` column of the sources themselves. A column `copies` of the sources
-    is passed on. `distinct` says that no source comes twice.
+    is passed on. `distinct` says that no source comes twice. `exclude_elements` are left out
+    of HTML by the library's own parser.
     """
     parsers = PARSERS if parsers is None else parsers
     routed = route_sources(sources, list(parsers), source_type)
@@ -41,8 +45,9 @@ def parse_sources(
     rejects = rejected(routed).unionByName(rejected(missing))
     documents = None
     for name, parser in parsers.items():
+        settings = {"exclude_elements": exclude_elements} if parser is parse_pages else {}
         found = parser(fetched.where(F.col("source_type") == name).drop("source_type"),
-                       timestamp=timestamp)
+                       timestamp=timestamp, **settings)
         if isinstance(found, tuple):
             found, failed = found
             rejects = rejects.unionByName(failed)
@@ -58,14 +63,15 @@ def distinct_sources(sources: DataFrame) -> DataFrame:
 
 def every_copy(rejects: DataFrame, sources: DataFrame) -> DataFrame:
     """Rejects of distinct sources, once for each time that a source was listed."""
-    return rejects.drop("ordinal").join(sources.select("ordinal", "source"), "source").select(
-        *rejects.columns)
+    listed = sources.select(F.col("ordinal").alias("_ordinal"), F.col("source").alias("_source"))
+    return rejects.join(listed, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
+        "ordinal", F.col("_ordinal")).select(*rejects.columns)
 
 
 def ingest_points(
     sources: DataFrame, pages: DataFrame | None = None, source_type: str | None = None,
     timestamp: datetime | str | None = None, embedder: Embedder | None = None,
-    parsers: Mapping[str, Parser] | None = None,
+    parsers: Mapping[str, Parser] | None = None, exclude_elements: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Points and rejects of a source list, the points distinct by id.
 
@@ -85,14 +91,13 @@ def ingest_points(
     else:
         once = sources.withColumn("copies", F.lit(1).cast("long"))
     documents, rejects = parse_sources(
-        once, pages, source_type, timestamp, parsers, distinct=True)
+        once, pages, source_type, timestamp, parsers, distinct=True, exclude_elements=exclude_elements)
     if pages is not None or gone is not None:
         rejects = every_copy(rejects, sources if gone is None else there)
     if gone is not None:
         _, missing = parse_sources(gone, None, source_type, timestamp, parsers)
         rejects = rejects.unionByName(missing)
-    points = points_from_documents(documents, embedder)
-    return (points if certain else last_of_source(points)), rejects
+    return points_from_documents(documents if certain else last_of_source(documents), embedder), rejects
 
 
 def ingest(
@@ -100,24 +105,28 @@ def ingest(
     collection: str = DEFAULT_COLLECTION, source_type: str | None = None,
     timestamp: datetime | str | None = None, parsers: Mapping[str, Parser] | None = None,
     origin: str | None = None, rejects_path: str | None = None,
+    exclude_elements: Sequence[str] | None = None,
 ) -> int:
     """Parse, embed and store the sources; returns the number of documents sent.
 
-    With `rejects_path` every source that gave no document is added to the table there.
+    With `rejects_path` every source that gave no document is added to the table there; a
+    repeated write with the same `origin` replaces what it added before.
     """
     points, rejects = ingest_points(
-        sources, pages, source_type, timestamp, store.embedder, parsers)
+        sources, pages, source_type, timestamp, store.embedder, parsers, exclude_elements)
     if rejects_path:
-        rejects.withColumn("origin", F.lit(origin).cast("string")).write.mode("append").parquet(rejects_path)
+        part = md5(origin.encode()).hexdigest() if origin is not None else os.urandom(16).hex()
+        rejects.withColumn("origin", F.lit(origin).cast("string")).write.mode("overwrite").parquet(
+            f"{rejects_path}/write={part}")
     return store.upsert(collection, points, distinct=True, origin=origin)
 
 
-def last_of_source(points: DataFrame) -> DataFrame:
-    """The last point of each id in input order; `copies` adds up."""
-    totals = points.groupBy("point_id").agg(
+def last_of_source(documents: DataFrame) -> DataFrame:
+    """The last document of each source in input order; `copies` adds up. Found before
+    anything is embedded, on the columns that tell the order alone."""
+    counted = documents if "copies" in documents.columns else documents.withColumn("copies", F.lit(1).cast("long"))
+    keys = counted.groupBy(F.col("source").alias("_source")).agg(
         F.max(F.struct("ordinal", "part")).alias("_last"), F.sum("copies").alias("_all"))
-    keys = totals.select(
-        "point_id", F.col("_last")["ordinal"].alias("ordinal"),
-        F.col("_last")["part"].alias("part"), "_all")
-    return points.join(keys, ["point_id", "ordinal", "part"]).withColumn(
-        "copies", F.col("_all")).drop("_all")
+    same = (F.col("source").eqNullSafe(F.col("_source")) & F.col("ordinal").eqNullSafe(F.col("_last")["ordinal"])
+            & F.col("part").eqNullSafe(F.col("_last")["part"]))
+    return counted.join(keys, same).withColumn("copies", F.col("_all")).drop("_source", "_last", "_all")

@@ -253,8 +253,9 @@ class CollectionStore:
             seen, F.coalesce(F.sum(F.when(fits, F.col("copies"))), F.lit(0)).alias("sent"),
             F.count(F.when(~fits, 1)).alias("bad")).where(fits).drop("reason"))
         if seen.get["bad"]:
-            _bad_vectors(marked).withColumn("collection", F.lit(name)).withColumn(
-                "batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(self.rejects_path)
+            # Under the number of the batch, so that a repeated write replaces them.
+            _bad_vectors(marked).withColumn("collection", F.lit(name)).write.mode("overwrite").parquet(
+                f"{self.rejects_path}/batch_id={batch_id}")
         sent = seen.get["sent"]
         if not sent:
             return 0

@@ -39,7 +39,8 @@ def fetched_content(sources: DataFrame, pages: DataFrame, distinct: bool) -> Dat
 
 
 def missing_content(sources: DataFrame, pages: DataFrame) -> DataFrame:
-    """Those sources that have none, with `reason`; reads no content."""
+    """Those sources that have none, with `reason`; content is read to see that it is there
+    and not shuffled."""
     found = pages.where(F.col("content").isNotNull()).select("source")
     return sources.join(found, "source", "left_anti").withColumn(
         "reason", F.lit("not_fetched"))

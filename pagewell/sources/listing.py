@@ -83,13 +83,18 @@ def rejected(routed: DataFrame, detail: str | None = None) -> DataFrame:
         "ordinal", "source", "source_type", "reason", note.cast("string").alias("detail"))
 
 
-def ingest_report(sources: DataFrame, rejects: DataFrame) -> DataFrame:
-    """Number of sources per outcome: each reject reason, and `parsed` for the rest.
+#: Where in the job a source is given up, by reason; others are at the store.
+STAGES = {"no_parser": "route", "not_fetched": "load", "parse_error": "parse", "parsed": "done"}
+
 
-    A source counts once, under its ordinal.
+def ingest_report(sources: DataFrame, rejects: DataFrame) -> DataFrame:
+    """Number of sources per outcome: each reject reason with its `stage`, and `parsed` for
+    the rest. A source counts once, under its ordinal.
     """
     reasons = rejects.groupBy("ordinal").agg(F.min("reason").alias("reason"))
     return (
         sources.select("ordinal").join(reasons, "ordinal", "left")
         .groupBy(F.coalesce(F.col("reason"), F.lit("parsed")).alias("reason"))
-        .agg(F.count(F.lit(1)).alias("sources")))
+        .agg(F.count(F.lit(1)).alias("sources"))
+        .withColumn("stage", F.coalesce(
+            F.create_map(*(F.lit(x) for pair in STAGES.items() for x in pair))[F.col("reason")], F.lit("store"))))

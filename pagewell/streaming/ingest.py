@@ -1,5 +1,6 @@
 """Incremental ingest: new files of pages become writes to a collection."""
 
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from pagewell import schemas
 from pagewell.plans.ingest import DEFAULT_COLLECTION, ingest
+from pagewell.plans.registry import Parser
 from pagewell.plans.store import CollectionStore
 
 
@@ -26,14 +28,14 @@ def stream_pages(
 def ingest_stream(
     store: CollectionStore, pages: DataFrame, name: str, checkpoint: str,
     collection: str = DEFAULT_COLLECTION, timestamp: datetime | str | None = None,
-    rejects_path: str | None = None,
+    rejects_path: str | None = None, source_type: str | None = None,
+    parsers: Mapping[str, Parser] | None = None, exclude_elements: Sequence[str] | None = None,
 ) -> StreamingQuery:
     """Ingest all pages that have arrived (`ordinal, source, content`), then stop.
 
     Every micro-batch is one write, recorded under the stream's name and the number
     of the micro-batch. A replay of a recorded one does nothing; a replay of one that
-    failed half-way writes it anew. `rejects_path`: as in `ingest`; a replayed micro-batch
-    has its rejects there again, under the same origin.
+    failed half-way writes it anew, its rejects too. The other settings are those of `ingest`.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -41,8 +43,8 @@ def ingest_stream(
         local.points_path, local.catalog_path = store.points_path, store.catalog_path
         local.codes_path = store.codes_path
         local.rejects_path = store.rejects_path
-        ingest(local, batch, collection=collection, timestamp=timestamp,
-               origin=f"{name}/{number}", rejects_path=rejects_path)
+        ingest(local, batch, collection=collection, source_type=source_type, timestamp=timestamp, parsers=parsers,
+               origin=f"{name}/{number}", rejects_path=rejects_path, exclude_elements=exclude_elements)
 
     return (
         pages.withColumn("ordinal", F.col("ordinal").cast("long"))

@@ -251,3 +251,22 @@ def test_end_tags_without_a_start_cost_no_search():
     start = time.perf_counter()
     walk(page, ())
     assert time.perf_counter() - start < 5
+
+
+def test_user_code_runs_once_per_page(spark, rows, tmp_path):
+    from pagewell.plans.ingest import ingest_points
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(content, source):
+        calls.add(1)
+        if content == "bad":
+            raise ValueError(source)
+        return [{"content": f"{content} {n}"} for n in range(3)]
+
+    parsers = {"txt": lambda pages, timestamp=None: parse_rows(pages, counted, "txt", timestamp)}
+    sources = rows("ordinal long, source string, content string", (0, "a.txt", "x"), (1, "b.txt", "bad"),
+                   (2, "a.txt", "y"), (3, "c.txt", "z"))
+    points, rejects = ingest_points(sources, timestamp="T", parsers=parsers)
+    assert points.count() == 2 and rejects.count() == 1 and len(points.collect()) == 2
+    assert {(r.payload["content"], r.copies) for r in points.collect()} == {("y 2", 6), ("z 2", 3)}
+    assert calls.value == 4
