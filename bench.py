@@ -17,7 +17,8 @@ HEADLINE = (
     "source_list load_content parse_pages parse_nested_pages embed_text points_distinct "
     "batch_plan upsert_latest collection_info scroll_page scroll_all search_vector "
     "search_text search_batch search_all_vectors search_approx answer_searches decode_requests "
-    "ingest_job ingest_stream op1_mixing op3_simhash op8_quality op9_packing"
+    "ingest_job ingest_stream search_codes answer_pages op1_mixing op3_simhash op8_quality op9_packing "
+    "op11_conversations op13_bpe"
 ).split()
 
 
