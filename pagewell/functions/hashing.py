@@ -79,3 +79,9 @@ def hashed_embedder(dimension: int = DIMENSION) -> Callable[[Column], Column]:
 
     # Keeps filters on the vector from being pushed below, where they would repeat it.
     return embed.asNondeterministic()
+
+
+def batch_model() -> Callable[[list[str]], np.ndarray]:
+    """The same as a model of batches, see `functions.batches`."""
+    slots = _Slots(DIMENSION)
+    return lambda texts: _vectors(pa.array(texts, pa.string()), slots)

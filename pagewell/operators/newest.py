@@ -32,3 +32,21 @@ def newest_with_copies(rows: DataFrame, keys: Sequence[str], order: Sequence[str
     """`newest`, with the number of rows each winner stands for in `copies`."""
     copies = F.count(F.lit(1)).alias("copies")
     return rows.join(_winners(rows, keys, order, copies), [*keys, *order])
+
+
+#: Ids written more than once that are told to all tasks, under 200 bytes each there.
+TOLD = 500_000
+
+
+def newest_of_batches(rows: DataFrame, key: str = "point_id", told: int = TOLD) -> DataFrame:
+    """Rows of the last `batch_id` of each key; a batch holds a key once, keys are not null.
+
+    Keys of several batches are counted first, on keys alone. Up to `told` of them are
+    broadcast, so that the other columns are not shuffled; more are joined.
+    """
+    several = rows.groupBy(key).agg(
+        F.max("batch_id").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    if several.count() > told:
+        return newest(rows, [key], ["batch_id"])
+    return rows.join(F.broadcast(several), key, "left").where(
+        F.col("_last").isNull() | (F.col("batch_id") == F.col("_last"))).drop("_last")

@@ -12,6 +12,7 @@ from pagewell.operators.embed import Embedder
 from pagewell.operators.newest import newest_with_copies
 from pagewell.operators.parse import parse_pages
 from pagewell.operators.points import points_from_documents
+from pagewell.operators.reports import report_sketches
 from pagewell.plans.registry import PARSERS, Parser
 from pagewell.plans.store import CollectionStore
 from pagewell.sources.content import fetched_content, missing_content
@@ -105,19 +106,23 @@ def ingest(
     collection: str = DEFAULT_COLLECTION, source_type: str | None = None,
     timestamp: datetime | str | None = None, parsers: Mapping[str, Parser] | None = None,
     origin: str | None = None, rejects_path: str | None = None,
-    exclude_elements: Sequence[str] | None = None,
+    exclude_elements: Sequence[str] | None = None, report_path: str | None = None,
 ) -> int:
     """Parse, embed and store the sources; returns the number of documents sent.
 
-    With `rejects_path` every source that gave no document is added to the table there; a
-    repeated write with the same `origin` replaces what it added before.
+    With `rejects_path` every source that gave no document is added to the table there, and
+    with `report_path` the report of this run (`operators.reports`) to that one; a repeated
+    write with the same `origin` replaces what it added before.
     """
     points, rejects = ingest_points(
         sources, pages, source_type, timestamp, store.embedder, parsers, exclude_elements)
+    part = md5(origin.encode()).hexdigest() if origin is not None else os.urandom(16).hex()
     if rejects_path:
-        part = md5(origin.encode()).hexdigest() if origin is not None else os.urandom(16).hex()
-        rejects.withColumn("origin", F.lit(origin).cast("string")).write.mode("overwrite").parquet(
-            f"{rejects_path}/write={part}")
+        folder = f"{rejects_path}/write={part}"
+        rejects.withColumn("origin", F.lit(origin).cast("string")).write.mode("overwrite").parquet(folder)
+        rejects = store.spark.read.schema(rejects.schema).parquet(folder)
+    if report_path:
+        report_sketches(sources, rejects).write.mode("overwrite").parquet(f"{report_path}/write={part}")
     return store.upsert(collection, points, distinct=True, origin=origin)
 
 

@@ -20,7 +20,7 @@ from pagewell.operators import codes as K
 from pagewell.operators import collections as C
 from pagewell.operators import search as S
 from pagewell.operators.embed import Embedder, check_vectors, vector_size
-from pagewell.operators.newest import newest, newest_with_copies
+from pagewell.operators.newest import newest_of_batches, newest_with_copies
 from pagewell.operators.points import points_from_texts
 from pagewell.plans.registry import get_embedder
 
@@ -73,23 +73,16 @@ class CollectionStore:
         return f"{self.points_path}/{md5(name.encode()).hexdigest()}"
 
     def _state(self, name: str) -> _State | None:
-        """The catalog rows of one name; there is one per write since compaction."""
-        rows = self.catalog().where(F.col("name") == name)
-        dropped = rows.agg(F.max(F.when(F.col("deleted"), F.col("batch_id")))).first()[0]
-        if dropped is not None:
-            rows = rows.where(F.col("batch_id") > dropped)
-        first = rows.agg(
-            F.min_by("vector_size", "batch_id").alias("size"),
-            F.min_by("distance", "batch_id").alias("distance"),
-            F.max(F.when(F.col("action") == "compact", F.col("batch_id"))).alias("base"),
-        ).first()
-        if first["distance"] is None:
+        """From the catalog rows of one name, of which there is one per write, in one job."""
+        told = self.catalog().where(F.col("name") == name).select(
+            "batch_id", "deleted", "action", "vector_size", "distance").collect()
+        dropped = max((r["batch_id"] for r in told if r["deleted"]), default=-1)
+        rows = sorted((r for r in told if r["batch_id"] > dropped), key=lambda r: r["batch_id"])
+        if not rows:
             return None
-        written = rows.where(F.col("action").isin("upsert", "compact"))
-        if first["base"] is not None:
-            written = written.where(F.col("batch_id") >= first["base"])
-        batches = sorted(r[0] for r in written.select("batch_id").distinct().collect())
-        return _State(first["size"], first["distance"], batches)
+        base = max((r["batch_id"] for r in rows if r["action"] == "compact"), default=-1)
+        batches = {r["batch_id"] for r in rows if r["action"] in ("upsert", "compact") and r["batch_id"] >= base}
+        return _State(rows[0]["vector_size"], rows[0]["distance"], sorted(batches))
 
     def _existing(self, name: str) -> _State:
         state = self._state(name)
@@ -111,10 +104,11 @@ class CollectionStore:
             F.max("batch_id").alias("batch_id"))
 
     def points(self, name: str) -> DataFrame:
-        """Live points of a collection. After compaction this is a plain scan."""
+        """Live points of a collection. After compaction this is a plain scan; before it, ids
+        written several times are counted, see `newest_of_batches`."""
         batches = self._existing(name).batches
         log = self._log(name, batches)
-        return log if len(batches) < 2 else newest(log, ["point_id"], ["batch_id"])
+        return log if len(batches) < 2 else newest_of_batches(log)
 
     def list(self) -> DataFrame:
         return C.list_collections(self.catalog())
@@ -167,7 +161,7 @@ class CollectionStore:
         folder = self._code_folder(name)
         log = self.spark.read.schema(schemas.CODE_LOG).option("basePath", folder).parquet(
             *(f"{folder}/batch_id={batch}" for batch in batches))
-        return log if len(batches) < 2 else newest(log, ["point_id"], ["batch_id"])
+        return log if len(batches) < 2 else newest_of_batches(log)
 
     def search_nearby(self, name: str, queries: DataFrame, k: int = C.DEFAULT_LIMIT) -> DataFrame:
         """`query_id, rank, point_id, score` of k hits for each of `query_id, query_vector`.

@@ -87,14 +87,19 @@ def rejected(routed: DataFrame, detail: str | None = None) -> DataFrame:
 STAGES = {"no_parser": "route", "not_fetched": "load", "parse_error": "parse", "parsed": "done"}
 
 
+def source_outcomes(sources: DataFrame, rejects: DataFrame) -> DataFrame:
+    """`ordinal, source` with its `reason`, `parsed` where there is no reject, and `stage`."""
+    reasons = rejects.groupBy("ordinal").agg(F.min("reason").alias("reason"))
+    stages = F.create_map(*(F.lit(x) for pair in STAGES.items() for x in pair))
+    return (
+        sources.select("ordinal", "source").join(reasons, "ordinal", "left")
+        .withColumn("reason", F.coalesce(F.col("reason"), F.lit("parsed")))
+        .withColumn("stage", F.coalesce(stages[F.col("reason")], F.lit("store"))))
+
+
 def ingest_report(sources: DataFrame, rejects: DataFrame) -> DataFrame:
     """Number of sources per outcome: each reject reason with its `stage`, and `parsed` for
     the rest. A source counts once, under its ordinal.
     """
-    reasons = rejects.groupBy("ordinal").agg(F.min("reason").alias("reason"))
-    return (
-        sources.select("ordinal").join(reasons, "ordinal", "left")
-        .groupBy(F.coalesce(F.col("reason"), F.lit("parsed")).alias("reason"))
-        .agg(F.count(F.lit(1)).alias("sources"))
-        .withColumn("stage", F.coalesce(
-            F.create_map(*(F.lit(x) for pair in STAGES.items() for x in pair))[F.col("reason")], F.lit("store"))))
+    return source_outcomes(sources, rejects).groupBy("reason", "stage").agg(
+        F.count(F.lit(1)).alias("sources"))
