@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 import entry_sql
 from pagewell import ship
 from pagewell.functions import ids, pages, urls
+from pagewell.functions.batches import batched_embedder
+from pagewell.functions.hashing import batch_model
 from pagewell.functions.lines import line_documents
 from pagewell.operators import codes as K
 from pagewell.operators import collections as C
 from pagewell.operators import nearby as N
 from pagewell.operators import points as P
+from pagewell.operators import reports
 from pagewell.operators import requests as R
 from pagewell.operators import search as S
 from pagewell.plans import answers as A
@@ -29,7 +32,7 @@ from pagewell.plans.staging import shared_path
 from pagewell.plans.store import CollectionStore
 from pagewell.sources.content import load_content, spread
 from pagewell.sources.listing import (
-    ingest_report, list_sources, route_sources, with_source_type)
+    ingest_report, list_sources, route_sources, source_outcomes, with_source_type)
 from pagewell.streaming.ingest import ingest_stream, stream_pages
 
 TIMESTAMP = "2025-01-01T00:00:00Z"
@@ -270,6 +273,24 @@ def report(spark, d):
     return ingest_report(sources, rejects)
 
 
+def report_merged(spark, d):
+    """Outcomes of two runs, of the pages' and of the documents' sources, from their reports;
+    the estimate of distinct sources is held against the exact number."""
+    sources, pages = _mixed_sources(spark, d), _pages(spark, d)
+    of_documents = F.col("ordinal") % 3 == 2
+    made = exact = None
+    for run in (sources.where(~of_documents), sources.where(of_documents)):
+        _, rejects = ingest_points(run, pages, timestamp=TIMESTAMP)
+        report, told = reports.report_sketches(run, rejects), source_outcomes(run, rejects)
+        made = report if made is None else made.unionByName(report)
+        exact = told if exact is None else exact.unionByName(told)
+    distinct = exact.groupBy("stage", "reason").agg(F.count_distinct("source").alias("_exact"))
+    return reports.read_report(made, 1).join(distinct, ["stage", "reason"]).select(
+        "stage", "reason", "sources",
+        (F.abs(F.col("distinct_sources") - F.col("_exact")) <= 0.05 * F.col("_exact")).alias("distinct_close"),
+        F.col("top_domains")[0]["count"].alias("top_count"))
+
+
 def strip_elements(spark, d):
     return _page_variants(spark, d).select(
         "ordinal", F.md5(pages.strip_elements(F.col("content"))).alias("stripped_md5"))
@@ -344,6 +365,12 @@ def text_embedded(spark, d):
     return _sparse(embed_text(rows, "text"), "doc_id")
 
 
+def text_batched(spark, d):
+    """The same by a model that takes batches of texts of at most 64 KB with their padding."""
+    rows = spread(_table(spark, d, "documents").select("doc_id", "text"))
+    return _sparse(embed_text(rows, "text", batched_embedder(batch_model, 65_536)), "doc_id")
+
+
 def query_embedded(spark, d):
     return _sparse(S.embed_queries(_text_queries(spark, d)), "query_id", "query_vector")
 
@@ -673,6 +700,23 @@ def ingest_streamed(spark, d):
     return _page_points(store.points("documents"), "source", "title", "content")
 
 
+def ingest_changes(spark, d):
+    """All pages three times through the stream of changes: as they are, a later version with
+    new titles on those whose source has a digest below 8, and the first ones again."""
+    folder = shared_path(spark)
+    store = CollectionStore(spark, f"{folder}/store")
+    first = _pages(spark, d).withColumn("ordinal", F.col("ordinal") * 2)
+    title = F.when(F.md5("source") < "8", F.lit("<title>New ")).otherwise(F.lit("<title>"))
+    second = first.select((F.col("ordinal") + 1).alias("ordinal"), "source",
+                          F.replace(F.col("content"), F.lit("<title>"), title).alias("content"))
+    for pages in (first, second, first):
+        pages.write.mode("append").parquet(f"{folder}/in")
+        ingest_stream(store, stream_pages(spark, f"{folder}/in"), "pages", f"{folder}/checkpoint",
+                      timestamp=TIMESTAMP, changes_only=True).awaitTermination()
+    return store.points("documents").select(
+        F.col("payload")["source"].alias("source"), F.col("payload")["title"].alias("title"), "ordinal", "batch_id")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Pages parsed, embedded and searched with every benchmark text."""
     d = "/root/testdata/sf0.001"
@@ -705,6 +749,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "route_sources": route,
         "load_content": load,
         "ingest_report": report,
+        "report_merged": report_merged,
         "strip_elements": strip_elements,
         "page_title": page_title,
         "page_text": page_text,
@@ -715,6 +760,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parse_nested_pages": nested_pages_parsed,
         "custom_parser": custom_parser,
         "embed_text": text_embedded,
+        "embed_batched": text_batched,
         "embed_query": query_embedded,
         "vector_size": vector_sizes,
         "check_vectors": vectors_checked,
@@ -759,6 +805,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_job": ingest_job,
         "ingest_twice": ingest_twice,
         "ingest_stream": ingest_streamed,
+        "ingest_changes": ingest_changes,
     }
 
 

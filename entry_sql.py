@@ -317,6 +317,13 @@ def oracle_sql() -> dict[str, str]:
         "ingest_report": f"""WITH {LOADED} SELECT coalesce(reason, 'parsed') AS reason,
             count(*) AS sources, CASE reason WHEN 'no_parser' THEN 'route' WHEN 'not_fetched' THEN 'load'
               ELSE 'done' END AS stage FROM loaded GROUP BY ALL""",
+        "report_merged": f"""WITH {LOADED},
+            told AS (SELECT *, coalesce(reason, 'parsed') AS why, CASE reason WHEN 'no_parser' THEN 'route'
+              WHEN 'not_fetched' THEN 'load' ELSE 'done' END AS stage, {_DOMAIN} AS domain FROM loaded),
+            domains AS (SELECT stage, why, count(*) AS n FROM told WHERE domain <> '' GROUP BY stage, why, domain),
+            most AS (SELECT stage, why, max(n) AS top_count FROM domains GROUP BY ALL)
+            SELECT stage, why AS reason, count(*) AS sources, true AS distinct_close, any_value(top_count) AS top_count
+            FROM told LEFT JOIN most USING (stage, why) GROUP BY stage, why""",
         "strip_elements": f"""WITH {VARIANTS}
             SELECT ordinal, md5({_STRIPPED}) AS stripped_md5 FROM page_variants""",
         "page_title": f"WITH {_parsed(VARIANTS)} SELECT ordinal, title FROM parsed",
@@ -337,6 +344,8 @@ def oracle_sql() -> dict[str, str]:
             FROM lines WHERE {_strip('content')} <> ''""",
         "embed_text": f"""WITH {_bag('bag', 'documents', 'doc_id')}
             SELECT doc_id, bucket::INTEGER AS bucket, round(weight, 6) AS weight FROM bag""",
+        "embed_batched": f"""WITH {_bag('bag', 'documents', 'doc_id')}
+            SELECT doc_id, bucket::INTEGER AS bucket, round(weight, 6) AS weight FROM bag""",
         "embed_query": f"""WITH {_bag('bag', 'benchmark', 'item_id')}
             SELECT item_id AS query_id, bucket::INTEGER AS bucket, round(weight, 6) AS weight FROM bag""",
         "vector_size": """SELECT 64 AS document_size, count(*) AS documents, 64 AS vector_size
@@ -479,4 +488,10 @@ def oracle_sql() -> dict[str, str]:
         "ingest_twice": job,
         "ingest_stream": f"WITH {_parsed(PAGES)} "
             + _with_vectors("parsed", "ordinal", PAGE_POINT, "content"),
+        "ingest_changes": f"""WITH {_parsed("""page_variants AS (SELECT page_id AS ordinal, url AS source,
+              CASE WHEN md5(url) < '8' THEN replace(html, '<title>', '<title>New ') ELSE html END AS content
+              FROM pages)""")}
+            SELECT source, title, ordinal * 2 + changed AS ordinal, changed AS batch_id FROM (SELECT parsed.*,
+              CASE WHEN md5(url) < '8' AND contains(html, '<title>') THEN 1 ELSE 0 END AS changed
+            FROM parsed JOIN pages ON page_id = ordinal)""",
     }

@@ -51,7 +51,8 @@ def page_changes(pages: DataFrame) -> DataFrame:
     micro-batch, for its page with the greatest ordinal there.
 
     `change` is `insert` for a source never seen, `unchanged` for the content seen last,
-    `late` for other content with a smaller ordinal, else `update`. Null sources are left
+    `late` for other content of an earlier version, else `update`. The ordinal is the version;
+    of equal ones with other content the greater digest is the later one, so replays end alike. Null sources are left
     out, a null ordinal counts as -1 and a null content is a content. Pages of one source are
     read one after the other and one of them is kept. The session needs
     STATE_STORE as `spark.sql.streaming.stateStore.providerClass`.
