@@ -26,8 +26,9 @@ HELD = 2_000_000
 #: An n-gram is held only if it is in so large a share of the language's texts.
 LEAST_SHARE = 0.002
 FOLDS, UNKNOWN = 5, "und"
-#: Below this share of known n-grams a text is in no learned language.
-LEAST_SCORE = 0.3
+#: A text is in no learned language if its score is below this part of a low quantile of
+#: the scores that labelled texts of that language have, which were not learned from.
+BOUND_PART, BOUND_QUANTILE = 0.5, 0.01
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -190,6 +191,26 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     return found.select(*kept, "_pw_lang.lang_pred", "_pw_lang.score")
 
 
+def bounds(filters: Filters, labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, float]:
+    """The least score of a text of each language, from labelled texts not learned from.
+
+    It is `BOUND_PART` of the `BOUND_QUANTILE` of the scores of those that are told right, so
+    a language whose n-grams the filters hold less well asks for less. A language without
+    such a text has the bound 0: nothing shows what its texts score, so none is rejected. The
+    driver receives a row per language.
+    """
+    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).alias("_lang"), F.col(text).alias("text"))
+    right = predict(rows, filters).where(F.col("_lang") == F.col("lang_pred"))
+    low = right.groupBy("lang_pred").agg(F.percentile_approx("score", BOUND_QUANTILE, 10_000).alias("low"))
+    return dict.fromkeys(filters.languages, 0.0) | {r["lang_pred"]: BOUND_PART * r["low"] for r in low.collect()}
+
+
+def known(told: DataFrame, least: dict[str, float]) -> DataFrame:
+    """The predicted rows that reach the bound of their language; `und` reaches none."""
+    bound = F.create_map(*(F.lit(x) for pair in least.items() for x in pair))
+    return told.where(F.col("score") >= bound[F.col("lang_pred")])
+
+
 def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == 0
 

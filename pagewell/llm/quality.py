@@ -29,8 +29,9 @@ RATES = {
 }
 #: A value is an outlier beyond so many quartile distances.
 REACH = 4
-#: Groups with fewer texts take the thresholds of their language, then of the corpus.
-LEAST_TEXTS = 200
+#: A group is judged by its own texts and so many more that are spread like its parent's:
+#: those of its language, which has so many spread like the corpus's.
+PARENT_TEXTS = 200
 #: Thresholds of so many groups are broadcast (about 100 bytes each); more are joined.
 BROADCAST_GROUPS = 50_000
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
@@ -113,14 +114,35 @@ def sketch(measured: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
             .groupBy(*group, "r.rate", "r.bin").agg(F.count(F.lit(1)).alias("texts")))
 
 
-def _fences(bins: DataFrame, keys: Sequence[str], least: int) -> DataFrame:
-    """Wide rows `keys, <rate>_low, <rate>_high` of the groups with enough texts."""
-    per_bin = bins.groupBy(*keys, "rate", "bin").agg(F.sum("texts").alias("texts"))
+def _totals(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return bins.groupBy(*keys, "rate", "bin").agg(F.sum("texts").alias("texts"))
+
+
+def _running(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`all` texts of a group and rate, and `upto` each bin; one row per bin."""
     by = Window.partitionBy(*keys, "rate")
-    running = per_bin.select(
-        *keys, "rate", "bin", F.sum("texts").over(by).alias("all"),
+    return bins.select(
+        *keys, "rate", "bin", "texts", F.sum("texts").over(by).alias("all"),
         F.sum("texts").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"))
-    quartiles = running.where(F.col("all") >= least).groupBy(*keys, "rate").agg(*(
+
+
+def _with_parent(bins: DataFrame, parent: DataFrame, keys: Sequence[str], above: Sequence[str]) -> DataFrame:
+    """The sketch `bins` of `keys` and `PARENT_TEXTS` texts with the parent's quantiles."""
+    share = F.expr(f"({PARENT_TEXTS}L * upto) div `all` - ({PARENT_TEXTS}L * (upto - texts)) div `all`")
+    typical = _running(parent, above).select(
+        *(F.col(k).alias(f"_k{i}") for i, k in enumerate(above)),
+        F.col("rate").alias("_rate"), F.col("bin"), share.alias("texts")).where("texts > 0")
+    groups = bins.select(*keys, "rate").distinct()
+    same = F.col("rate") == F.col("_rate")
+    for i, k in enumerate(above):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    added = groups.join(typical, same).select(*keys, "rate", "bin", "texts")
+    return _totals(bins.select(*keys, "rate", "bin", "texts").unionByName(added), keys)
+
+
+def _fences(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Wide rows `keys, <rate>_low, <rate>_high`."""
+    quartiles = _running(bins, keys).groupBy(*keys, "rate").agg(*(
         bin_end(F.min(F.when(F.col("upto") * 100 >= F.col("all") * q, F.col("bin")))).alias(f"q{q}")
         for q in (25, 75)))
     smallest = F.create_map(*(F.lit(x) for n, r in RATES.items() for x in (n, r[3])))
@@ -135,23 +157,16 @@ def _fences(bins: DataFrame, keys: Sequence[str], least: int) -> DataFrame:
 def thresholds(bins: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """One row per group of the sketch, with the fences it is judged by.
 
-    A small group has those of the first group column alone, else those of the corpus.
+    A group's fences follow its own texts and `PARENT_TEXTS` more that are spread like those
+    of the first group column, which in turn has as many that are spread like the corpus's.
+    So a group of a few texts is judged nearly as its language, a large one by itself, and
+    no size switches between them. An empty sketch has no thresholds.
     """
-    names = [f"{n}_{side}" for n in RATES for side in ("low", "high")]
-    out = bins.select(*group).distinct()
-    found = []
-    for depth, least in ((len(group), LEAST_TEXTS), (1, LEAST_TEXTS), (0, 1)):
+    above, parent = [], _totals(bins, [])
+    for depth in sorted({1, len(group)}):
         keys = list(group[:depth])
-        level = _fences(bins, keys, least).select(
-            *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)),
-            *(F.col(n).alias(f"_f{depth}_{n}") for n in names))
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            same = same & out[k].eqNullSafe(F.col(f"_k{i}"))
-        out = out.join(level, same, "left").drop(*(f"_k{i}" for i in range(depth)))
-        found.append(depth)
-    return out.select(*group, *(
-        F.coalesce(*(F.col(f"_f{d}_{n}") for d in found)).alias(n) for n in names))
+        parent, above = _with_parent(_totals(bins, keys), parent, keys, above), keys
+    return _fences(parent, group)
 
 
 def judge(measured: DataFrame, fences: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
@@ -190,8 +205,25 @@ def op8_quality(spark, sf_dir: str) -> DataFrame:
     return judge(measured, fit(measured)).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
-def _fence_sql(keys: str, least: int, name: str) -> str:
-    by = f"{keys}, rate" if keys else "rate"
+def _blend_sql(keys: str, name: str, above: str, parent: str) -> str:
+    """The sketch `name` of `keys`, with texts that are spread like those of `parent`."""
+    by, up = f"{keys}, rate", f"{above}, rate" if above else "rate"
+    same = " AND ".join(f"g.{k} IS NOT DISTINCT FROM p.{k}" for k in up.split(", "))
+    return f"""
+{name}_p AS (
+  SELECT {up}, bin, {PARENT_TEXTS} * upto // n_all - {PARENT_TEXTS} * (upto - texts) // n_all AS texts FROM (
+    SELECT *, sum(texts) OVER (PARTITION BY {up}) AS n_all,
+      sum(texts) OVER (PARTITION BY {up} ORDER BY bin) AS upto FROM {parent})),
+{name} AS (
+  SELECT {by}, bin, sum(texts) AS texts FROM (
+    SELECT {by}, bin, texts FROM bins UNION ALL
+    SELECT {', '.join('g.' + k for k in by.split(', '))}, p.bin, p.texts
+    FROM (SELECT DISTINCT {by} FROM bins) g JOIN {name}_p p ON {same} WHERE p.texts > 0)
+  GROUP BY {by}, bin)"""
+
+
+def _fence_sql(keys: str, bins: str, name: str) -> str:
+    by = f"{keys}, rate"
     end = lambda q: (f"(((q{q} - 64 * greatest(q{q} // 64 - 1, 0)) + 1)::BIGINT << greatest(q{q} // 64 - 1, 0)) - 1")
     floors = " ".join(f"WHEN '{n}' THEN {r[3]}" for n, r in RATES.items())
     wide = ", ".join(f"max(CASE WHEN rate = '{n}' THEN {side} END) AS {n}_{side}"
@@ -199,16 +231,15 @@ def _fence_sql(keys: str, least: int, name: str) -> str:
     return f"""
 {name}_run AS (
   SELECT {by}, bin, sum(texts) OVER (PARTITION BY {by}) AS n_all,
-    sum(texts) OVER (PARTITION BY {by} ORDER BY bin) AS upto
-  FROM (SELECT {by}, bin, sum(texts) AS texts FROM bins GROUP BY {by}, bin)),
+    sum(texts) OVER (PARTITION BY {by} ORDER BY bin) AS upto FROM {bins}),
 {name}_q AS (
   SELECT {by}, min(CASE WHEN upto * 100 >= n_all * 25 THEN bin END) AS q25,
     min(CASE WHEN upto * 100 >= n_all * 75 THEN bin END) AS q75
-  FROM {name}_run WHERE n_all >= {least} GROUP BY {by}),
+  FROM {name}_run GROUP BY {by}),
 {name}_v AS (SELECT {by}, {end(25)} AS v25, {end(75)} AS v75 FROM {name}_q),
 {name}_w AS (SELECT {by}, v25 - r AS low, v75 + r AS high FROM (
   SELECT *, {REACH} * greatest(v75 - v25, CASE rate {floors} END) AS r FROM {name}_v)),
-{name} AS (SELECT {keys + ', ' if keys else ''}{wide} FROM {name}_w {'GROUP BY ' + keys if keys else ''})"""
+{name} AS (SELECT {keys}, {wide} FROM {name}_w GROUP BY {keys})"""
 
 
 def _sql() -> str:
@@ -218,8 +249,7 @@ def _sql() -> str:
         f"SELECT lang, source, '{n}' AS rate, {v} AS x FROM measured WHERE NOT base_failed"
         for n, v in value.items())
     tests = " AND ".join(
-        f"{value[n]} <= coalesce(a.{n}_high, b.{n}_high, c.{n}_high)"
-        + (f" AND {value[n]} >= coalesce(a.{n}_low, b.{n}_low, c.{n}_low)" if r[4] else "")
+        f"{value[n]} <= a.{n}_high" + (f" AND {value[n]} >= a.{n}_low" if r[4] else "")
         for n, r in RATES.items())
     return f"""
 WITH texts AS (
@@ -248,13 +278,13 @@ measured AS (
 bins AS (
   SELECT lang, source, rate, greatest(length(bin(x)) - 7, 0) * 64 + (x >> greatest(length(bin(x)) - 7, 0)) AS bin,
     count(*) AS texts FROM ({bins}) GROUP BY ALL),
-{_fence_sql('lang, source', LEAST_TEXTS, 'a')},
-{_fence_sql('lang', LEAST_TEXTS, 'b')},
-{_fence_sql('', 1, 'c')}
+corpus AS (SELECT rate, bin, sum(texts) AS texts FROM bins GROUP BY rate, bin),
+{_blend_sql('lang', 'of_lang', '', 'corpus')},
+{_blend_sql('lang, source', 'of_source', 'lang', 'of_lang')},
+{_fence_sql('lang, source', 'of_source', 'a')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND coalesce({tests}, true) AS kept
-FROM measured m LEFT JOIN a ON m.lang IS NOT DISTINCT FROM a.lang AND m.source IS NOT DISTINCT FROM a.source
-  LEFT JOIN b ON m.lang IS NOT DISTINCT FROM b.lang LEFT JOIN c ON true"""
+FROM measured m LEFT JOIN a ON m.lang IS NOT DISTINCT FROM a.lang AND m.source IS NOT DISTINCT FROM a.source"""
 
 
 QUERIES = {"op8_quality": op8_quality}
