@@ -30,6 +30,7 @@ from pagewell.operators.parse import parse_pages, parse_rows
 from pagewell.plans.ingest import ingest_points
 from pagewell.plans.staging import shared_path
 from pagewell.plans.store import CollectionStore
+from pagewell.sources.archives import read_archives, write_archives
 from pagewell.sources.content import load_content, spread
 from pagewell.sources.listing import (
     ingest_report, list_sources, route_sources, source_outcomes, with_source_type)
@@ -266,6 +267,22 @@ def load(spark, d):
         "ordinal", "source", F.md5("content").alias("content_md5"), "reason")
 
 
+def _archived(spark, d) -> str:
+    """The table's pages as archives of about 64 MB of pages each."""
+    pages = _table(spark, d, "pages").select(F.col("url").alias("source"), F.col("html").alias("content"))
+    size = pages.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    path = f"{shared_path(spark)}/archives"
+    write_archives(pages, path, buckets=1 + size // (64 << 20))
+    return path
+
+
+def load_archives(spark, d):
+    """The content of sources out of archives of the pages."""
+    loaded = load_content(_mixed_sources(spark, d), read_archives(spark, _archived(spark, d)))
+    return loaded.select(
+        "ordinal", "source", F.md5("content").alias("content_md5"), "reason")
+
+
 def report(spark, d):
     """Outcomes of the job's sources, many of which are listed repeatedly and fail."""
     sources = _mixed_sources(spark, d)
@@ -748,6 +765,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "detect_source_type": detect_source_type,
         "route_sources": route,
         "load_content": load,
+        "load_archives": load_archives,
         "ingest_report": report,
         "report_merged": report_merged,
         "strip_elements": strip_elements,

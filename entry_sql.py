@@ -314,6 +314,9 @@ def oracle_sql() -> dict[str, str]:
         "load_content": f"""WITH {MIXED} SELECT ordinal, s.source, md5(html) AS content_md5,
             CASE WHEN html IS NULL THEN 'not_fetched' END AS reason
             FROM sources s LEFT JOIN pages p ON p.url = s.source""",
+        "load_archives": f"""WITH {MIXED} SELECT ordinal, s.source, md5(html) AS content_md5,
+            CASE WHEN html IS NULL THEN 'not_fetched' END AS reason
+            FROM sources s LEFT JOIN pages p ON p.url = s.source""",
         "ingest_report": f"""WITH {LOADED} SELECT coalesce(reason, 'parsed') AS reason,
             count(*) AS sources, CASE reason WHEN 'no_parser' THEN 'route' WHEN 'not_fetched' THEN 'load'
               ELSE 'done' END AS stage FROM loaded GROUP BY ALL""",
