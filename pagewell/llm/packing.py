@@ -120,12 +120,12 @@ def _stretch(documents: list[tuple], ends_sentence: np.ndarray, size: int, whole
     return windows, left
 
 
-def _pack(path: str, size: int, end_id: int | None, whole_ids: bool):
+def _pack(path: str, size: int, end_id: int | None, whole_ids: bool, known_parts: int = KNOWN_PARTS):
     kinds = [pa.int64()] * 3 + [pa.binary() if whole_ids else pa.int64()] + [pa.int64()] * 3
     names = [c.split()[0] for c in (PIECES if whole_ids else DIGESTS).split(", ")]
 
     def run(batches):
-        tokenizer = encoder(path, known_parts=KNOWN_PARTS)
+        tokenizer = encoder(path, known_parts=known_parts)
         ends_sentence = tokenizer.sentence_ends()
         sequence = TaskContext.get().partitionId() << 40
         waiting: list[tuple] = []
@@ -170,7 +170,8 @@ def _pack(path: str, size: int, end_id: int | None, whole_ids: bool):
 
 
 def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id: int | None = END_ID,
-         key: str = "doc_id", text: str = "text", whole_ids: bool = True) -> DataFrame:
+         key: str = "doc_id", text: str = "text", whole_ids: bool = True,
+         known_parts: int = KNOWN_PARTS) -> DataFrame:
     """One row per piece of a document in a sequence: `PIECES`, or `DIGESTS`, which have the
     CRC-32 of the ids in their place.
 
@@ -179,12 +180,14 @@ def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id
     the end id. Documents follow each other by key, null first, equal keys by text, and
     each row is a document of its own, so repeated rows are packed as often as they occur.
     A null text is empty, its document only the end id; without an end id it has no piece.
-    An empty table gives no rows. Other columns are not carried.
+    An empty table gives no rows. Other columns are not carried. A Python worker remembers
+    the ids of `known_parts` words, some 0.3 KB each, also between tasks; the rows are the same
+    for each number.
     """
     path = tokenizer or default_path()
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
-    return ordered.mapInArrow(_pack(path, size, end_id, whole_ids), PIECES if whole_ids else DIGESTS)
+    return ordered.mapInArrow(_pack(path, size, end_id, whole_ids, known_parts), PIECES if whole_ids else DIGESTS)
 
 
 def op9_packing(spark, sf_dir: str) -> DataFrame:
