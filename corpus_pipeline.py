@@ -8,6 +8,14 @@ from pagewell.llm import langid, mixing, packing, quality, simhash
 from pagewell.llm.shared import materialise
 
 
+def _renamed(docs: DataFrame, *used: str):
+    """The rows with only the columns `used` under their names, so that none of the others
+    clashes with what is added, and the columns that give the names back."""
+    names = {c: c if c in used else f"_c{i}" for i, c in enumerate(docs.columns)}
+    return (docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())),
+            {c: F.col(n).alias(c) for c, n in names.items()})
+
+
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the thresholds of their own corpus keep.
 
@@ -15,10 +23,10 @@ def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     shuffled or written in between. Null texts fail the base rules.
     """
     ship(spark)
-    named = docs.select(F.struct("*").alias("_doc"), "text", "lang", "source")
+    named, back = _renamed(docs, "text", "lang", "source")
     fences = quality.fit(quality.measure(docs.select("text", "lang", "source")))
     judged = quality.judge(quality.measure(named), fences)
-    return judged.where("kept").select(*(F.col(f"_doc.`{c}`") for c in docs.columns))
+    return judged.where("kept").select(*back.values())
 
 
 def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +43,9 @@ def language_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not filters.languages:
         return docs
     least = langid.bounds(filters, docs.where(apart).select("text", "lang"))
-    named = docs.select(F.struct("*").alias("_doc"), F.col("text").alias("_text"))
-    told = langid.known(langid.predict(named, filters, "_text"), least)
-    return told.select(*(
-        F.coalesce(F.col("_doc.lang"), "lang_pred").alias("lang") if c == "lang" else F.col(f"_doc.`{c}`")
-        for c in docs.columns))
+    named, back = _renamed(docs, "text", "lang")
+    told = langid.known(langid.predict(named, filters), least)
+    return told.select(*(back | {"lang": F.coalesce("lang", "lang_pred").alias("lang")}).values())
 
 
 def near_duplicate_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
