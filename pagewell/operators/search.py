@@ -9,12 +9,13 @@ order do not change the ranks; equal scores rank by point id.
 """
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,10 +34,17 @@ SLACK = 1e-8
 BROADCAST_QUERIES = 16_384
 BROADCAST_BYTES = 128 << 20
 
-# Beyond that: queries and points of one group of the block join.
+# Beyond that: queries and points that make a group of the block join worth its while.
 QUERY_BLOCK = 8_192
 POINT_SLICE = 200_000
 
+# Groups of the block join for each core, and bytes of queries and their hits in one.
+GROUPS_PER_CORE = 4
+HELD_BYTES = 128 << 20
+
+# Bytes that a hit takes in a task beside its query.
+HIT_BYTES = 100
+
 # Hits that are broadcast to fetch their payloads.
 BROADCAST_HITS = 500_000
 
@@ -46,6 +54,9 @@ SCORES_HELD = 4 << 20
 # Pairs scored at once when candidates are scored exactly.
 PAIR_CHUNK = 50_000
 
+# Hits given out at once.
+BATCH_ROWS = 65_536
+
 
 def cosine(vector: Column, query: Sequence[float]) -> Column:
     """Cosine similarity of a vector column to one vector; 0 for zero vectors."""
@@ -114,13 +125,19 @@ def _unit_rows(vectors: pa.Array) -> np.ndarray:
     return rows / norms
 
 
+def rounding(width: int) -> float:
+    """More than what two products of unit rows in single precision are off by."""
+    return (width + 8) * 2.0 ** -22
+
+
 class TopK:
     """Best points per query of what has been added."""
 
     def __init__(self, queries: Queries):
         self.queries = queries
-        self.found = [pd.DataFrame({
-            "query": np.empty(0, np.int64), "score": np.empty(0), "point_id": []})]
+        self.quick = queries.units.astype(np.float32)
+        self.slack = SLACK + rounding(queries.units.shape[1])
+        self.found: list[pd.DataFrame] = []
         self.waiting = 0
         self.floor = np.full(len(queries.limits), -np.inf)
         # Queries at one cell that want equally many hits are scored together.
@@ -137,51 +154,64 @@ class TopK:
             raise ValueError("Vectors and queries differ in length")
         for cell in np.unique(cells):
             rows = np.flatnonzero(cells == cell)
+            quick = units[rows].astype(np.float32).T
             step = max(1, SCORES_HELD // len(rows))
             for limit, members in self.members.get(cell, ()):
                 for start in range(0, len(members), step):
-                    self._candidates(ids, units, rows, members[start:start + step], limit)
+                    self._candidates(ids, units, quick, rows, members[start:start + step], limit)
 
-    def _candidates(self, ids, units, rows, columns, limit) -> None:
-        approximate = units[rows] @ self.queries.units[columns].T
-        floor = self.floor[columns]
-        if len(rows) > limit:
+    def _candidates(self, ids, units, quick, rows, columns, limit) -> None:
+        approximate = self.quick[columns] @ quick
+        fresh = np.flatnonzero(np.isneginf(self.floor[columns]))
+        if len(fresh) and len(rows) >= limit:
             kth = len(rows) - limit
-            floor = np.maximum(floor, np.partition(approximate, kth, axis=0)[kth])
-        at, of = np.nonzero(approximate >= floor - SLACK)
+            best = np.partition(approximate[fresh], kth, axis=1)[:, kth]
+            self.floor[columns[fresh]] = best - self.slack
+        floor = (self.floor[columns] - self.slack).astype(np.float32)
+        of, at = np.divmod(np.flatnonzero(approximate >= floor[:, None]), len(rows))
         for start in range(0, len(at), PAIR_CHUNK):
             row = rows[at[start:start + PAIR_CHUNK]]
             query = columns[of[start:start + PAIR_CHUNK]]
             # Summed row by row in a fixed order: equal vectors get equal scores.
             exact = (units[row] * self.queries.units[query]).sum(axis=1)
-            self.found.append(pd.DataFrame({
-                "query": query, "score": np.round(exact, SCORE_DIGITS) + 0.0,
-                "point_id": ids.take(pa.array(row)).to_pylist()}))
+            self.found.append(_hits(query, np.round(exact, SCORE_DIGITS) + 0.0, ids.take(pa.array(row))))
             self.waiting += len(row)
             if self.waiting > max(PAIR_CHUNK, self.queries.limits.sum()):
                 self._keep()
 
     def _keep(self) -> None:
-        hits = pd.concat(self.found, ignore_index=True).sort_values(
-            ["query", "score", "point_id"], ascending=[True, False, True])
-        wanted = self.queries.limits[hits["query"].to_numpy(np.int64)]
-        best = hits[hits.groupby("query").cumcount() < wanted].reset_index(drop=True)
-        counts = best.groupby("query")["score"].agg(["size", "min"])
-        full = counts[counts["size"] == self.queries.limits[counts.index.to_numpy(np.int64)]]
-        self.floor[full.index.to_numpy(np.int64)] = full["min"].to_numpy()
-        self.found, self.waiting = [best], 0
-
-    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        if not self.found:
+            return
+        hits = pa.Table.from_pandas(pd.concat(self.found, ignore_index=True), preserve_index=False)
+        hits = hits.take(pc.sort_indices(
+            hits, [("query", "ascending"), ("score", "descending"), ("point_id", "ascending")]))
+        query, score = hits["query"].to_numpy(), hits["score"].to_numpy()
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        wanted = self.queries.limits[query]
+        last, stays = place == wanted - 1, place < wanted
+        self.floor[query[last]] = score[last]
+        ids = hits["point_id"].filter(pa.array(stays)).combine_chunks()
+        self.found = [_hits(query[stays], score[stays], ids)]
+        self.waiting = 0
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         self._keep()
-        best = self.found[0]
-        rows = pa.array(best["query"].to_numpy(), pa.int64())
-        columns = [
-            self.queries.ids.take(rows),
-            pa.array(self.queries.limits).take(rows),
-            pa.array(best["point_id"].to_numpy()),
-            pa.array(best["score"].to_numpy(), pa.float64())]
-        return pa.RecordBatch.from_arrays(
-            [c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+        for best in self.found:
+            rows = pa.array(best["query"].to_numpy(), pa.int64())
+            yield from _cast([
+                self.queries.ids.take(rows), pa.array(self.queries.limits).take(rows),
+                pa.array(best["point_id"]), pa.array(best["score"].to_numpy(), pa.float64())], schema)
+
+
+def _hits(query: np.ndarray, score: np.ndarray, ids: pa.Array) -> pd.DataFrame:
+    return pd.DataFrame({
+        "query": query, "score": score, "point_id": pd.arrays.ArrowExtensionArray(ids)})
+
+
+def _cast(columns: Sequence[pa.Array], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Columns as batches of a schema."""
+    table = pa.Table.from_arrays([_chunk(c.cast(f.type)) for c, f in zip(columns, schema)], schema=schema)
+    yield from table.to_batches(BATCH_ROWS)
 
 
 def _add_batch(top: TopK, batch) -> None:
@@ -240,31 +270,64 @@ def find_top_k(
             top = TopK(Queries.read(_from_ipc(shared.value)))
             for batch in batches:
                 _add_batch(top, batch)
-            yield top.batch(schema)
+            yield from top.batches(schema)
 
         most = int(np.maximum(local["limit"].to_numpy(zero_copy_only=False), 0).sum())
         return Found(_rank(scanned.mapInArrow(scan, hits_type), k), most, local)
 
-    blocks = max(1, math.ceil(wanted.count() / query_block))
-    slices = max(1, math.ceil(points.count() / point_slice))
-    left = wanted.drop(*match).withColumn(
-        "_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    ).withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    right = scanned.withColumn(
-        "_slice", F.pmod(F.xxhash64("point_id"), F.lit(slices)).cast("int")
-    ).withColumn("_block", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    # Vectors in both precisions, the cells looked at, and hits.
+    held = (12 * F.size("query_vector") + 24 * F.size("cells")
+            + HIT_BYTES * F.greatest("limit", F.lit(0)))
+    found = block_join(
+        wanted.drop(*match), scanned, held, hits_type,
+        lambda asking: TopK(Queries.read(asking)), _add_batch, query_block, point_slice)
+    return Found(_rank(found, k))
 
-    def meet(asking: pa.Table, offered: pa.Table) -> pa.Table:
-        if asking.num_rows == 0 or offered.num_rows == 0:
-            return schema.empty_table()
-        top = TopK(Queries.read(asking))
-        for batch in offered.to_batches(10_000):
-            _add_batch(top, batch)
-        return pa.Table.from_batches([top.batch(schema)])
 
-    grouped = left.groupBy("_block", "_slice").cogroup(right.groupBy("_block", "_slice"))
-    return Found(_rank(grouped.applyInArrow(meet, hits_type), k))
+def block_join(
+    queries: DataFrame, points: DataFrame, held: Column, kind: T.StructType,
+    start: Callable, add: Callable, query_block: int, point_slice: int,
+) -> DataFrame:
+    """Rows of `kind` that come of every query meeting every point once.
+
+    A group holds a block of the queries, from which `start` makes what finds the hits, and
+    a slice of the points, given to `add` batch by batch. There are a few groups for each
+    core, whatever the number of rows, so both sides are copied equally often at all
+    sizes; only queries of more than HELD_BYTES (`held`: bytes of one, with its hits) a block
+    make more blocks. Fewer than `query_block` queries or `point_slice` points are not split.
+    """
+    groups = GROUPS_PER_CORE * points.sparkSession.sparkContext.defaultParallelism
+    asked, size = queries.agg(F.count(F.lit(1)), F.coalesce(F.sum(held.cast("long")), F.lit(0))).first()
+    blocks = max(1, min(math.ceil(asked / query_block), max(math.isqrt(groups), math.ceil(size / HELD_BYTES))))
+    slices = max(1, min(math.ceil(points.count() / point_slice), math.ceil(groups / blocks)))
+
+    def dealt(rows: DataFrame, key: str, own: int, each: int, other: int, other_each: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(key), F.lit(own)) * each
+        copies = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("_copy")
+        return rows.select(F.struct("*").alias(key), part.alias("_part"), copies).select(
+            key, (F.col("_part") + F.col("_copy") * other_each).cast("int").alias("_group"))
+
+    left = dealt(queries, "query_id", blocks, slices, slices, 1)
+    right = dealt(points, "point_id", slices, 1, blocks, slices)
+    met = left.unionByName(right, allowMissingColumns=True).repartitionById(
+        blocks * slices, "_group").sortWithinPartitions(F.col("point_id").isNotNull())
+    schema = to_arrow_schema(kind)
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asking, top = [], None
+        for batch in batches:
+            asked, offered = (
+                pa.RecordBatch.from_struct_array(batch.column(c).drop_null()) for c in ("query_id", "point_id"))
+            if asked.num_rows:
+                asking.append(asked)
+            if offered.num_rows and asking:
+                if top is None:
+                    top = start(pa.Table.from_batches(asking))
+                add(top, offered)
+        if top is not None:
+            yield from top.batches(schema)
+
+    return met.mapInArrow(meet, kind)
 
 
 def top_k_pairs(
@@ -277,7 +340,7 @@ def top_k_pairs(
     `query_vector`, and a `limit` of its own for each query when `k` is None. A query
     only sees points with equal `match` columns. Up to `broadcast_queries` queries go
     to every task of one scan of the points. More queries than that are joined block
-    by block: every group holds one block of queries and one slice of the points.
+    by block, see `block_join`.
     """
     return find_top_k(points, queries, k, match, **options).hits
 

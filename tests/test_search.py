@@ -56,6 +56,21 @@ def test_block_join_like_brute_force(sets):
     assert got(hits) == want(points, queries, 7)
 
 
+def test_block_join_copies_do_not_grow_with_the_blocks(sets, spark, monkeypatch):
+    points, queries, frame, asked = sets
+    seen, add = spark.sparkContext.accumulator(0), S._add_batch
+
+    def counted(top, batch):
+        seen.add(batch.num_rows)
+        add(top, batch)
+
+    monkeypatch.setattr(S, "_add_batch", counted)
+    hits = S.top_k_pairs(frame, asked, 7, broadcast_bytes=0, query_block=1, point_slice=1)
+    assert got(hits) == want(points, queries, 7)
+    side = math.isqrt(4 * spark.sparkContext.defaultParallelism)
+    assert seen.value <= side * len(points) < len(queries) * len(points)
+
+
 def test_small_chunks_give_the_same(sets, monkeypatch):
     points, queries, frame, asked = sets
     top = S.TopK(S.Queries.read(
