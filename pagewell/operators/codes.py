@@ -7,7 +7,6 @@ bounds on all scores follow from codes alone. They are scanned; only points whos
 bound reaches the k-th best lower bound of a query have their vectors fetched and scored.
 """
 
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,10 +18,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from pagewell.operators.collections import DEFAULT_LIMIT
 from pagewell.operators.search import (
-    BROADCAST_BYTES, BROADCAST_QUERIES, POINT_SLICE, QUERY_BLOCK, SCORE_DIGITS, SCORES_HELD, SLACK, _from_ipc, _ipc,
-    _unit_rows)
+    BROADCAST_BYTES, BROADCAST_QUERIES, HIT_BYTES, POINT_SLICE, QUERY_BLOCK, SCORE_DIGITS, SCORES_HELD, SLACK, _cast,
+    _from_ipc, _ipc, _unit_rows, block_join, rounding)
 
 STEPS = 127
+
+# Candidates that a task is expected to keep for each hit wanted.
+CANDIDATES = 4
 CODE_TYPE = T.StructType([
     T.StructField("code", T.BinaryType()), T.StructField("step", T.DoubleType()), T.StructField("error", T.DoubleType())])
 
@@ -61,49 +63,62 @@ class _Bounds:
 
     def __init__(self, queries: pa.Table, k: int):
         self.ids = queries["query_id"].combine_chunks()
-        self.units = _unit_rows(queries["query_vector"].combine_chunks())
+        units = _unit_rows(queries["query_vector"].combine_chunks())
+        self.width = units.shape[1]
+        # A last column of ones adds the errors, so that products are upper bounds.
+        self.units = np.concatenate([units, np.ones((len(units), 1))], axis=1).astype(np.float32)
         self.k = k
-        self.best = np.full((len(self.ids), k), -np.inf)  # the k highest lower bounds
+        self.floor = np.full(len(self.ids), -np.inf)  # the k-th highest lower bound
         self.found: list[tuple] = []
-        self.waiting = 0
+        self.waiting = self.kept = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
         if not batch.num_rows or not len(self.ids):
             return
         codes = batch.column("code")
         width = _width(codes)
-        if width != self.units.shape[1]:
+        if width != self.width:
             raise ValueError("Vectors and queries differ in length")
-        rows = np.frombuffer(b"".join(codes.to_pylist()), np.int8).reshape(-1, width).astype(np.float64)
-        rows *= batch.column("step").to_numpy()[:, None]
-        error = batch.column("error").to_numpy() + SLACK
+        error = batch.column("error").to_numpy() + SLACK + rounding(width)
+        rows = np.empty((len(codes), width + 1), np.float32)
+        rows[:, :width] = np.frombuffer(b"".join(codes.to_pylist()), np.int8).reshape(-1, width)
+        rows[:, :width] *= batch.column("step").to_numpy()[:, None].astype(np.float32)
+        rows[:, width] = error
+        point_id = batch.column("point_id")
         step = max(1, SCORES_HELD // len(rows))
         for start in range(0, len(self.ids), step):
-            part = slice(start, start + step)
-            score = self.units[part] @ rows.T
-            lower = np.concatenate([self.best[part], score - error], axis=1)
-            self.best[part] = -np.partition(-lower, self.k - 1, axis=1)[:, :self.k]
-            floor = self.best[part].min(axis=1, keepdims=True)
-            query, point = np.nonzero(score + error >= floor)
-            self.found.append((query + start, batch.column("point_id").take(pa.array(point)),
-                               score[query, point] - error[point], score[query, point] + error[point]))
+            upper = self.units[start:start + step] @ rows.T
+            floor = self.floor[start:start + step]
+            fresh = np.flatnonzero(np.isneginf(floor))
+            if len(fresh) and len(rows) >= self.k:
+                kth = len(rows) - self.k
+                floor[fresh] = np.partition(upper[fresh] - 2 * error, kth, axis=1)[:, kth]
+            query, point = np.divmod(
+                np.flatnonzero(upper >= floor[:, None].astype(np.float32)), len(rows))
+            high = upper[query, point].astype(np.float64)
+            self.found.append((query + start, point_id.take(pa.array(point)), high - 2 * error[point], high))
             self.waiting += len(query)
-        if self.waiting > 4 * self.k * len(self.ids) + SCORES_HELD:
-            self._keep()
+            if self.waiting > 2 * self.kept + SCORES_HELD // 4:
+                self._keep()
 
     def _keep(self) -> None:
-        floor = self.best.min(axis=1)
-        kept = []
-        for query, point, lower, upper in self.found:
-            stays = upper >= floor[query]
-            kept.append((query[stays], point.filter(pa.array(stays)), lower[stays], upper[stays]))
-        self.found, self.waiting = kept, sum(len(f[0]) for f in kept)
+        """Raises the floors to what has been found, and drops what is below them."""
+        if not self.found:
+            return
+        query, lower, upper = (np.concatenate([f[n] for f in self.found]) for n in (0, 2, 3))
+        point = pa.chunked_array([f[1] for f in self.found])
+        order = np.lexsort((-lower, query))
+        of = query[order]
+        last = order[np.arange(len(of)) - np.searchsorted(of, of) == self.k - 1]
+        self.floor[query[last]] = np.maximum(self.floor[query[last]], lower[last])
+        stays = np.flatnonzero(upper >= self.floor[query].astype(np.float32))
+        self.found = [(query[stays], point.take(pa.array(stays)).combine_chunks(), lower[stays], upper[stays])]
+        self.waiting = self.kept = len(stays)
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         self._keep()
         for query, point, lower, upper in self.found:
-            columns = [self.ids.take(pa.array(query)), point, pa.array(lower), pa.array(upper)]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+            yield from _cast([self.ids.take(pa.array(query)), point, pa.array(lower), pa.array(upper)], schema)
 
 
 def candidates(
@@ -138,28 +153,14 @@ def candidates(
 
         found = scanned.mapInArrow(scan, kind)
     else:
-        blocks = max(1, math.ceil(asked.count() / query_block))
-        slices = max(1, math.ceil(codes.count() / point_slice))
-        left = asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn(
-            "_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-        right = scanned.withColumn("_slice", F.pmod(F.xxhash64("point_id"), F.lit(slices)).cast("int")).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-        def meet(asking: pa.Table, offered: pa.Table) -> pa.Table:
-            if asking.num_rows == 0 or offered.num_rows == 0:
-                return schema.empty_table()
-            bounds = _Bounds(asking, k)
-            for batch in offered.to_batches(10_000):
-                bounds.add(batch)
-            return pa.Table.from_batches(list(bounds.batches(schema)), schema=schema)
-
-        found = left.groupBy("_block", "_slice").cogroup(right.groupBy("_block", "_slice")).applyInArrow(meet, kind)
+        held = 4 * F.size("query_vector") + CANDIDATES * HIT_BYTES * k
+        found = block_join(
+            asked, scanned, held, kind, lambda asking: _Bounds(asking, k), _Bounds.add, query_block, point_slice)
     # The k-th best lower bound over all tasks rules out most of what single tasks had to keep.
-    by_lower = Window.partitionBy("query_id").orderBy(F.desc("lower"))
-    floors = found.select("query_id", "lower").withColumn("_n", F.row_number().over(by_lower)).where(
-        F.col("_n") <= k).groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) == k, F.min("lower")).otherwise(F.lit(float("-inf"))).alias("_floor"))
-    return found.join(floors, "query_id").where(F.col("upper") >= F.col("_floor")).drop("_floor")
+    by_lower = Window.partitionBy("query_id").orderBy(F.desc("lower")).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    floor = F.coalesce(F.nth_value("lower", k).over(by_lower), F.lit(float("-inf")))
+    return found.withColumn("_floor", floor).where(F.col("upper") >= F.col("_floor")).drop("_floor")
 
 
 def score_candidates(points: DataFrame, queries: DataFrame, pairs: DataFrame, k: int = DEFAULT_LIMIT) -> DataFrame:

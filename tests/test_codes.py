@@ -40,6 +40,13 @@ def test_hits_are_the_exact_ones(vectors, k, options):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_blocks_find_candidates_once(vectors):
+    asked = vectors.select(F.col("point_id").alias("query_id"), F.col("vector").alias("query_vector"))
+    found = K.candidates(K.add_codes(vectors), asked, 3, broadcast_bytes=0, query_block=30, point_slice=90)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") + plan.count("CoGroupsInArrow") == 1
+
+
 def test_few_candidates(vectors):
     asked = vectors.limit(50).select(F.col("point_id").alias("query_id"), F.col("vector").alias("query_vector"))
     row = K.cost(K.add_codes(vectors), asked, 5).first()
