@@ -2,6 +2,7 @@
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from datetime import datetime, timezone
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -95,6 +96,9 @@ def parse_pages(
     )
 
 
+# What a user's parser takes and gives at once: pages, documents, and characters of these.
+PAGES_HELD, ROWS_HELD, CHARACTERS_HELD = 100, 2_000, 4 << 20
+
 Document = dict
 RowParser = Callable[[str, str], "Iterable[Document] | Document | None"]
 
@@ -116,10 +120,10 @@ def parse_rows(
         *schemas.PARSED.fields, *extra, T.StructField("error", T.StringType())])
     names = [f.name for f in extra]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
         for batch in batches:
-            rows = []
-            for page in batch.to_dict("records"):
+            parts = (batch.iloc[k:k + PAGES_HELD] for k in range(0, len(batch), PAGES_HELD))
+            for page in chain.from_iterable(part.to_dict("records") for part in parts):
                 kept = [page[n] for n in names]
                 source, ordinal = page["source"], page["ordinal"]
                 try:
@@ -134,8 +138,20 @@ def parse_rows(
                 except Exception as error:  # one source must not stop the others
                     made = [(ordinal, None, source, None, None, None, None, source_type,
                              *kept, f"{type(error).__name__}: {error}")]
-                rows.extend(made)
-            yield pd.DataFrame(rows, columns=output.fieldNames(), dtype=object)
+                yield made
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Given out in small parts, as documents in Python take many times their text.
+        held, size = [], 0
+        for made in parsed(batches):
+            for row in made:
+                held.append(row)
+                size += len(row[4] or "")
+                if len(held) >= ROWS_HELD or size >= CHARACTERS_HELD:
+                    yield pd.DataFrame(held, columns=output.fieldNames(), dtype=object)
+                    held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=output.fieldNames(), dtype=object)
 
     ran = written(pages.where(F.col("content").isNotNull()).mapInPandas(run, output))
     documents = ran.where(F.col("error").isNull()).drop("error").withColumn(

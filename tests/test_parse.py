@@ -1,11 +1,14 @@
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pagewell.functions import markup, pages
+from pagewell.functions.lines import line_documents
 from pagewell.functions.walker import walk
+from pagewell.operators import parse
 from pagewell.operators.parse import parse_pages, parse_rows, utc_timestamp
 from pagewell.plans import registry
 
@@ -270,3 +273,24 @@ def test_user_code_runs_once_per_page(spark, rows, tmp_path):
     assert points.count() == 2 and rejects.count() == 1 and len(points.collect()) == 2
     assert {(r.payload["content"], r.copies) for r in points.collect()} == {("y 2", 6), ("z 2", 3)}
     assert calls.value == 4
+
+
+def test_documents_of_a_parser_are_given_out_in_parts(rows, monkeypatch):
+    """A batch of pages is not held as documents at once; an error still drops a whole page."""
+    made = [(n, f"s{n}", "\n".join(f"{n} {k}" for k in range(n % 30))) for n in range(300)]
+    frame = rows("ordinal long, source string, content string", *made).coalesce(1)
+
+    def lines(content, source):
+        if source.endswith("9"):
+            return ({} if line.endswith(" 5") else {"content": line} for line in content.split("\n"))
+        return line_documents(content, source)
+
+    ran, given = type(frame).mapInPandas, []
+    monkeypatch.setattr(type(frame), "mapInPandas", lambda self, run, *more: (given.append(run), ran(self, run, *more))[1])
+    monkeypatch.setattr(parse, "ROWS_HELD", 7, raising=False)
+    documents, rejects = parse_rows(frame, lines, "txt", "t")
+    want = [(n, k, f"{n} {k}") for n in range(300) if n % 10 != 9 for k in range(n % 30)]
+    assert sorted((r["ordinal"], r["part"], r["content"]) for r in documents.collect()) == want
+    assert sorted(r["ordinal"] for r in rejects.collect()) == list(range(9, 300, 10))
+    parts = list(given[0](iter([pd.DataFrame(made, columns=["ordinal", "source", "content"])])))
+    assert sum(map(len, parts)) == len(want) + 30 and max(map(len, parts)) == 7
