@@ -19,9 +19,10 @@ DIMENSION = 64
 # What separates words: anything but letters and digits.
 BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 
-# Bytes of text taken apart at once, and words remembered per Python worker.
-CHUNK_BYTES = 32 << 20
-REMEMBERED = 1 << 20
+# Bytes of text taken apart at once (the words take some ten times as much), and words
+# remembered per Python worker.
+CHUNK_BYTES = 4 << 20
+REMEMBERED = 1 << 18
 
 
 class _Slots(dict):

@@ -3,10 +3,12 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pagewell.functions import hashing
 from pagewell.functions.batches import batched_embedder, deal
 from pagewell.functions.hashing import hashed_embedder
 from pagewell.operators.embed import embed_text
@@ -94,3 +96,13 @@ def test_points_of_two_batches_are_read_without_moving_vectors(rows, spark, tmp_
     assert moved and "BroadcastHashJoin" in plan
     above = plan.split("BroadcastHashJoin")[0]
     assert "Exchange" not in above
+
+
+def test_hashed_words_take_a_batch_apart_in_small_chunks(monkeypatch):
+    sizes, vectors = [], hashing._vectors
+    monkeypatch.setattr(hashing, "_vectors", lambda texts, slots: (sizes.append(texts.nbytes), vectors(texts, slots))[1])
+    texts = pa.array([f"word {n} " * 120 for n in range(20_000)])
+    made = pa.concat_arrays(hashing.hashed_embedder().func(iter([texts])))
+    assert texts.nbytes > 20 << 20 and max(sizes) < 5 << 20
+    want = vectors(texts, hashing._Slots(hashing.DIMENSION))
+    assert (made.flatten().to_numpy().reshape(want.shape) == want).all()
