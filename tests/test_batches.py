@@ -106,3 +106,14 @@ def test_hashed_words_take_a_batch_apart_in_small_chunks(monkeypatch):
     assert texts.nbytes > 20 << 20 and max(sizes) < 5 << 20
     want = vectors(texts, hashing._Slots(hashing.DIMENSION))
     assert (made.flatten().to_numpy().reshape(want.shape) == want).all()
+
+
+def test_hashed_words_are_forgotten_beyond_a_bound():
+    slots = hashing._Slots(hashing.DIMENSION)
+    words = [b"%d" % n for n in range(600_000)]
+    first = [slots[w] for w in words[:1000]]
+    most = 0
+    for word in words:
+        slots[word]
+        most = max(most, len(slots))
+    assert most <= 300_000 and [slots[w] for w in words[:1000]] == first
