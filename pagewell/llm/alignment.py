@@ -30,6 +30,8 @@ from pagewell.llm.tokens import Encoder, encoder
 
 #: Bytes of text in a block; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Parts of texts that each of the two encoders of a worker remembers.
+KNOWN_PARTS = 150_000
 SPACE_MARK = "▁"
 
 
@@ -57,10 +59,10 @@ class _Side:
 
     def __init__(self, path: str, pieces: bool):
         if pieces:
-            self.encoder = Encoder(path)
+            self.encoder = Encoder(path, known_parts=KNOWN_PARTS)
             known = [piece_bytes(self.encoder.library, i) for i in range(len(self.encoder.vocabulary))]
         else:
-            self.encoder = encoder(path, True)
+            self.encoder = encoder(path, True, KNOWN_PARTS)
             known = [byte_level_bytes(v) for v in self.encoder.vocabulary]
         self.bytes = pa.array(known, pa.binary())
         self.widths = pc.binary_length(self.bytes).to_numpy().astype(np.int64)
@@ -192,6 +194,8 @@ def _align(path_a: str, path_b: str, key_type, block_bytes: int):
                       for x in (one.codes, one.counts))],
                     names=["block", "key", "n_a", "n_b", "n_links", "groups_sha256", "places", "codes", "counts"])
                 number += 1
+                del one
+                pa.default_memory_pool().release_unused()  # Arrow keeps what blocks have freed
     return run
 
 

@@ -4,6 +4,8 @@ import hashlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -105,3 +107,14 @@ def test_spans(spark):
     assert found[1]["ends"][-1] == len(" Hello world, again")
     a = Tokenizer.from_file(A).encode(" Hello world, again").ids
     assert found[1]["a_until"][-1] == len(a) and len(found[1]["a_until"]) == len(found[1]["b_until"])
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
+def test_remembered_parts_are_bounded_for_both_sides(name):
+    side = alignment._Side(public_tokenizers.path(name), name.endswith(".model"))
+    side.encoder._forget()
+    for block in range(3):
+        text = " ".join(f"w{n}" for n in range(100_000 * block, 100_000 * (block + 1)))
+        ids = side.lists(pa.array([text]))[0].as_py()
+        assert ids == list(side.encoder._whole([text])[0])
+    assert len(side.encoder.parts) < 250_000
