@@ -10,12 +10,14 @@ count c of n becomes (c - n f^k) / (1 - f^k), and the largest corrected count de
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewell.llm.shared import materialise, table
+from pagewell.llm.shared import give_back, materialise, table
 
 #: Length of n-grams; n-grams per language; slots per n-gram; slots for each n-gram held.
 N, GRAMS, SLOTS, SPREAD = 4, 8_000, 4, 12
@@ -180,11 +182,15 @@ def predict(docs: DataFrame, filters: Filters, text: str = "text") -> DataFrame:
     """
     model = docs.sparkSession.sparkContext.broadcast(filters)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def decide(texts):
-        import pandas as pd
-
-        return pd.DataFrame([model.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+    @F.arrow_udf("lang_pred string, score double")
+    def decide(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            told = [model.value.predict(t.as_py()) for t in texts]
+            del texts
+            yield pa.StructArray.from_arrays(
+                [pa.array([t[0] for t in told], pa.string()), pa.array([t[1] for t in told], pa.float64())],
+                names=["lang_pred", "score"])
+        give_back()
 
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
     found = docs.select(*kept, decide(F.col(text).cast("string")).alias("_pw_lang"))

@@ -25,14 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewell.llm.shared import table
+from pagewell.llm.shared import give_back, table
 from pagewell.llm.tokens import default_path, encoder
 
 SIZE, END_ID = 2048, 1
 #: What a cut costs, in tokens of padding: after a sentence, and at any other place.
 SENTENCE_CUT, INNER_CUT = 4, 24
 #: Parts of texts whose ids a worker remembers.
-KNOWN_PARTS = 700_000
+KNOWN_PARTS = 200_000
 #: Tokens that are read before the stream is solved; cuts do not depend on it.
 STRETCH = 1 << 18
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -166,6 +166,9 @@ def _pack(path: str, size: int, end_id: int | None, whole_ids: bool):
                         yield solve(False)
         if waiting:
             yield solve(True)
+        batch = None
+        tokenizer.forget()
+        give_back()
     return run
 
 

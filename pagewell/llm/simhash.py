@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from pagewell.llm.bitslice import group_links
 from pagewell.llm.components import components
-from pagewell.llm.shared import materialise, table
+from pagewell.llm.shared import give_back, materialise, table
 
 CHUNK = 2048
 #: Shingles of a chunk, unless a text has more, where shingles are compared.
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     """`key, fp`: the 64-bit fingerprint of every text as a signed long."""
     def run(batches):
         for batch in batches:
-            fp = [fingerprint(shingle_hashes(t, words))[0] for t in batch.column(1).to_pylist()]
+            fp = [fingerprint(shingle_hashes(t.as_py(), words))[0] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.array(fp, np.uint64).view(np.int64))], names=["key", "fp"])
 
@@ -107,7 +107,7 @@ def _signatures(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             digests, keys, fps = [], [], []
-            for t in batch.column(1).to_pylist():
+            for t in (x.as_py() for x in batch.column(1)):
                 h = np.unique(shingle_hashes(t, words))
                 digests.append(hashlib.md5(b" ".join(t.encode().lower().split()) if t else b"").digest())
                 keys.append([int(np.min(mixed(h, 101 + k)).view(np.int64)) if len(h) else 0 for k in range(KEYS)])
@@ -115,6 +115,8 @@ def _signatures(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
                  pa.array(fps, pa.binary())], names=["key", "digest", "keys", "fp"])
+        batch = None
+        give_back()
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "key long, digest binary, keys array<long>, fp binary")
@@ -154,6 +156,8 @@ def bucket_links(rows: DataFrame, radii: tuple[int, ...]) -> DataFrame:
             yield from solve(frame.iloc[:last], cuts[:-1])
         if rest is not None and len(rest):
             yield from solve(rest, np.array([], int))
+        frame = rest = None
+        give_back()
 
     def solve(frame, cuts):
         if not len(frame):
@@ -211,18 +215,21 @@ def groups_by_radius(prints: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def _similar(words: int, similarity: float):
-    def run(frames):
+    def run(batches):
         last = (None, None)
-        for frame in frames:
+        for batch in batches:
             keep = []
-            for a, left, right in zip(frame["a"], frame["left"], frame["right"]):
+            for a, left, right in zip(batch.column("a").to_pylist(), batch.column("left"), batch.column("right")):
                 if last[0] != a:
-                    last = (a, set(shingle_hashes(left, words).tolist()))
-                other = set(shingle_hashes(right, words).tolist())
+                    last = (a, set(shingle_hashes(left.as_py(), words).tolist()))
+                other = set(shingle_hashes(right.as_py(), words).tolist())
                 shared = len(last[1] & other)
                 whole = len(last[1]) + len(other) - shared
                 keep.append(shared >= similarity * whole)
-            yield frame[["a", "b"]].assign(similar=np.array(keep, bool))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(keep, pa.bool_())], names=["a", "b", "similar"])
+        batch = None
+        give_back()
     return run
 
 
@@ -230,7 +237,7 @@ def _sets(words: int):
     """`_set, shingles, size`: the distinct hashes of a text's shingles."""
     def run(batches):
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()]
+            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([x.tobytes() for x in sets], pa.binary()),
                  pa.array([len(x) for x in sets], pa.int64())], names=["_set", "shingles", "size"])
@@ -331,7 +338,7 @@ def groups_by_similarity(docs: DataFrame, key: str = "doc_id", text: str = "text
         .join(asked, F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"]), "asked")
     paired = (links.join(texts.select(F.col("_key").alias("a"), F.col("_text").alias("left")), "a")
               .join(texts.select(F.col("_key").alias("b"), F.col("_text").alias("right")), "b"))
-    judged = materialise(paired.mapInPandas(_similar(words, similarity), "a long, b long, similar boolean"), "judged")
+    judged = materialise(paired.mapInArrow(_similar(words, similarity), "a long, b long, similar boolean"), "judged")
     sure = judged.where("similar").select("a", "b")
     found = components(sure)
     rejected = judged.where("not similar").select(F.col("a").alias("_a"))

@@ -21,9 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of texts that are encoded together; parts remembered between chunks.
-CHUNK_BYTES, KNOWN_PARTS = 2_000_000, 400_000
+CHUNK_BYTES, KNOWN_PARTS = 1_000_000, 400_000
 #: New parts are given to the library in lines of so many.
 LINE = 400
+#: Characters that the library encodes at once; what it gives takes some hundred bytes a token.
+AT_ONCE = 200_000
 _BEFORE_BLANK = re.compile(r"(?<=\S)(?= \S)")
 #: Texts whose words are not told apart by single blanks and line ends alone.
 _ODD = ("\\n\\x00|[ \\n][ \\n]|^\\n|[ \\n]$|^$|[\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}"
@@ -114,11 +116,29 @@ class Encoder:
         self.parts = _Parts()
         self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def forget(self) -> None:
+        """Remembers no parts any more; for the end of a task, as the worker outlives it."""
+        self._forget()
+
     def _whole(self, texts: Sequence[str]) -> list:
         if not hasattr(self.library, "encode_batch_fast"):
             return self.library.encode(list(texts), num_threads=1)
         return [e.ids for e in self.library.encode_batch_fast(list(texts), add_special_tokens=False)]
 
+    def _flat(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of whole texts one after another, and how many each has."""
+        flat, sizes, begin = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], 0
+        while begin < len(texts):
+            end, held = begin, 0
+            while end < len(texts) and (end == begin or held + len(texts[end]) <= AT_ONCE):
+                held += len(texts[end])
+                end += 1
+            ids = self._whole(texts[begin:end])
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
+            begin = end
+        return np.concatenate(flat), np.concatenate(sizes)
+
     def _learn(self) -> None:
         """Encodes the new parts: plain words in long lines, whose ids are dealt to the words
         by the bytes they stand for; the others one by one, as are all of a sentencepiece
@@ -140,17 +160,15 @@ class Encoder:
         new.clear()
         sizes = np.zeros(len(spelled), np.int64)
         is_plain = np.array(plain, bool)
-        lines = self._whole(["".join(words[k:k + LINE]) for k in range(0, len(words), LINE)])
-        flat_words = np.fromiter(chain.from_iterable(lines), np.uint32)
+        flat_words, _ = self._flat(["".join(words[k:k + LINE]) for k in range(0, len(words), LINE)])
         word_ends = np.cumsum(pc.binary_length(pa.array(words, pa.string())).to_numpy(), dtype=np.int64)
         upto = np.searchsorted(np.cumsum(self.widths[flat_words]), word_ends, "right")
         sizes[is_plain] = np.diff(np.r_[0, upto])
-        others = self._whole(alone)
-        sizes[~is_plain] = np.fromiter(map(len, others), np.int64, len(others))
+        flat_alone, sizes[~is_plain] = self._flat(alone)
         flat = np.zeros(int(sizes.sum()), np.uint32)
         of_words = np.repeat(is_plain, sizes)
         flat[of_words] = flat_words
-        flat[~of_words] = np.fromiter(chain.from_iterable(others), np.uint32)
+        flat[~of_words] = flat_alone
         self.flat = np.concatenate([self.flat, flat])
         self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
 
@@ -184,9 +202,7 @@ class Encoder:
 
     def _chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_parts:
-            ids = self._whole(texts.to_pylist())
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+            return self._flat(texts.to_pylist())
         if len(self.parts) > self.known_parts:
             self._forget()
         part, counts = self._part_numbers(texts)
@@ -210,7 +226,9 @@ class Encoder:
         while begin < len(column):
             before = int(sizes[begin - 1]) if begin else 0
             end = min(int(np.searchsorted(sizes, before + CHUNK_BYTES)) + 1, len(column))
-            yield self._chunk(column.slice(begin, end - begin))
+            told = self._chunk(column.slice(begin, end - begin))
+            pa.default_memory_pool().release_unused()  # Arrow keeps what chunks have freed
+            yield told
             begin = end
 
     def sentence_ends(self) -> np.ndarray:
